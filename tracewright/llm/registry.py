@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .quality_rules import OP1_SQL, op1_quality_rules
+from .secret_scan import OP3_SQL, op3_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_secret_scan": op3_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
+    "op3_secret_scan": OP3_SQL,
 }
