@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .curriculum_mix import OP5_SQL, op5_curriculum_mix
 from .quality_rules import OP1_SQL, op1_quality_rules
 from .secret_scan import OP3_SQL, op3_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_secret_scan": op3_secret_scan,
+    "op5_curriculum_mix": op5_curriculum_mix,
 }
 
 ORACLES: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
     "op3_secret_scan": OP3_SQL,
+    "op5_curriculum_mix": OP5_SQL,
 }
