@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .curriculum_mix import OP5_SQL, op5_curriculum_mix
 from .quality_rules import OP1_SQL, op1_quality_rules
 from .secret_scan import OP3_SQL, op3_secret_scan
+from .token_counts import op9_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_secret_scan": op3_secret_scan,
     "op5_curriculum_mix": op5_curriculum_mix,
+    "op9_token_counts": op9_token_counts,
 }
 
 ORACLES: dict[str, str] = {
