@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .curriculum_mix import OP5_SQL, op5_curriculum_mix
+from .importance import op10_importance_classifier
 from .quality_rules import OP1_SQL, op1_quality_rules
 from .secret_scan import OP3_SQL, op3_secret_scan
 from .token_counts import op9_token_counts
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op5_curriculum_mix": op5_curriculum_mix,
     "op9_token_counts": op9_token_counts,
+    "op10_importance_classifier": op10_importance_classifier,
 }
 
 ORACLES: dict[str, str] = {
