@@ -90,6 +90,27 @@ class Bloom:
         return out
 
 
+def put_keys(held: dict[int, np.ndarray], values: np.ndarray, width: int, log_parts: int, hashes: int) -> None:
+    """Set the bits of the keys in the parts held so far, 2**width bits each."""
+    parts = (values >> np.uint64(64 - log_parts)).astype(np.int64)
+    order = np.argsort(parts, kind="stable")
+    values, parts = values[order], parts[order]
+    cuts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]]) if len(parts) else []
+    for a, b in zip(cuts, [*cuts[1:], len(parts)], strict=True):
+        bits = held.setdefault(int(parts[a]), np.zeros(1 << (width - 3), np.uint8))
+        for place in Bloom.places(values[a:b], width, hashes):
+            np.bitwise_or.at(bits, (place >> np.uint64(3)).astype(np.int64), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+
+
+def collect_bloom(parts: DataFrame, log_bits: int, log_parts: int, hashes: int) -> Bloom:
+    """The filter from rows (part, bits); rows of the same part are united."""
+    step = 1 << (log_bits - log_parts - 3)
+    bits = np.zeros(1 << (log_bits - 3), np.uint8)
+    for row in parts.toLocalIterator():
+        bits[row["part"] * step : (row["part"] + 1) * step] |= np.frombuffer(row["bits"], np.uint8)
+    return Bloom(bits, log_bits, log_parts, hashes)
+
+
 def build_bloom(keys: DataFrame, log_bits: int, hashes: int, expand=None, log_parts: int = 6) -> Bloom:
     """A Bloom filter of the longs in the first column of ``keys``, built by part in the executors.
 
@@ -106,19 +127,8 @@ def build_bloom(keys: DataFrame, log_bits: int, hashes: int, expand=None, log_pa
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             values = expand(batch) if expand else batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            parts = (values >> np.uint64(64 - log_parts)).astype(np.int64)
-            order = np.argsort(parts, kind="stable")
-            values, parts = values[order], parts[order]
-            cuts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]]) if len(parts) else []
-            for a, b in zip(cuts, [*cuts[1:], len(parts)], strict=True):
-                bits = held.setdefault(int(parts[a]), np.zeros(1 << (width - 3), np.uint8))
-                for place in Bloom.places(values[a:b], width, hashes):
-                    np.bitwise_or.at(bits, (place >> np.uint64(3)).astype(np.int64), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+            put_keys(held, values, width, log_parts, hashes)
         for part, bits in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([bits.tobytes()], pa.binary())], names=["part", "bits"])
 
-    bits = np.zeros(1 << (log_bits - 3), np.uint8)
-    for row in dealt.mapInArrow(put, "part int, bits binary").toLocalIterator():
-        at = row["part"] << (width - 3)
-        bits[at : at + (1 << (width - 3))] |= np.frombuffer(row["bits"], np.uint8)
-    return Bloom(bits, log_bits, log_parts, hashes)
+    return collect_bloom(dealt.mapInArrow(put, "part int, bits binary"), log_bits, log_parts, hashes)

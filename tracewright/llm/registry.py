@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .curriculum_mix import OP5_SQL, op5_curriculum_mix
 from .importance import op10_importance_classifier
 from .jaccard_join import op8_jaccard_join
+from .lm_score import op4_lm_score
 from .quality_rules import OP1_SQL, op1_quality_rules
 from .secret_scan import OP3_SQL, op3_secret_scan
 from .token_counts import op9_token_counts
@@ -16,6 +17,7 @@ from .token_counts import op9_token_counts
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_secret_scan": op3_secret_scan,
+    "op4_lm_score": op4_lm_score,
     "op5_curriculum_mix": op5_curriculum_mix,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_token_counts": op9_token_counts,
