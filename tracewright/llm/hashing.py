@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Hashes of words that a worker remembers.
 REMEMBERED = 400_000
+#: Signs stripped from the ends of plain words.
+PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -23,7 +25,17 @@ class _Hashes(dict):
         return value
 
 
-_hashes = _Hashes()
+class _Plain(_Hashes):
+    """Of the word in lower case without the signs around it."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word.strip(PUNCTUATION).lower())
+        return value
+
+
+_hashes, _plain = _Hashes(), _Plain()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -49,6 +61,18 @@ def flat_tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return token_hashes(flat), lengths
 
 
+def plain_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """As flat_tokens, of words without the signs around them."""
+    flat: list[bytes] = []
+    lengths = np.zeros(len(texts), np.int64)
+    for k, text in enumerate(texts):
+        if text:
+            words = text.encode("utf-8", "surrogatepass").split()
+            flat += words
+            lengths[k] = len(words)
+    return np.fromiter(map(_plain.__getitem__, flat), np.uint64, len(flat)), lengths
+
+
 def chunks(texts: list, size: int = 1 << 21) -> Iterator[slice]:
     """Slices of a list of texts with about so many characters each."""
     start, total = 0, 0

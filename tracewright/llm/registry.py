@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .curriculum_mix import OP5_SQL, op5_curriculum_mix
+from .decontaminate import op7_decontaminate
 from .importance import op10_importance_classifier
 from .jaccard_join import op8_jaccard_join
 from .lm_score import op4_lm_score
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_lm_score": op4_lm_score,
     "op5_curriculum_mix": op5_curriculum_mix,
+    "op7_decontaminate": op7_decontaminate,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_token_counts": op9_token_counts,
     "op10_importance_classifier": op10_importance_classifier,
