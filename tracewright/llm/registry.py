@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .curriculum_mix import OP5_SQL, op5_curriculum_mix
 from .decontaminate import op7_decontaminate
+from .html_text import op2_html_text
 from .importance import op10_importance_classifier
 from .jaccard_join import op8_jaccard_join
 from .lm_score import op4_lm_score
@@ -17,6 +18,7 @@ from .token_counts import op9_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_html_text": op2_html_text,
     "op3_secret_scan": op3_secret_scan,
     "op4_lm_score": op4_lm_score,
     "op5_curriculum_mix": op5_curriculum_mix,
