@@ -15,6 +15,7 @@ from .lm_score import op4_lm_score
 from .quality_rules import OP1_SQL, op1_quality_rules
 from .secret_scan import OP3_SQL, op3_secret_scan
 from .token_counts import op9_token_counts
+from .warc import OP6_SQL, op6_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_lm_score": op4_lm_score,
     "op5_curriculum_mix": op5_curriculum_mix,
+    "op6_warc": op6_warc,
     "op7_decontaminate": op7_decontaminate,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_token_counts": op9_token_counts,
@@ -32,4 +34,5 @@ ORACLES: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
     "op3_secret_scan": OP3_SQL,
     "op5_curriculum_mix": OP5_SQL,
+    "op6_warc": OP6_SQL,
 }
