@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 #: ASCII white space, the separators of words: space and U+0009 to U+000D.
 SPACE = r"[\x20\x09-\x0D]+"
 _SPACE_SQL = "concat(' ', char(9), char(10), char(11), char(12), char(13))"
-#: Bytes of text in an Arrow batch, and rows in it.
-BATCH_BYTES, BATCH_ROWS = 16 << 20, 2000
+#: Bytes and rows of an Arrow batch: texts meet the first limit, numbers the second.
+BATCH_BYTES, BATCH_ROWS = 16 << 20, 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -34,40 +34,47 @@ REMEMBERED = 256
 _COEFFICIENTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
+#: Bits of a shingle hash that are kept; the others hold the place of the text among those worked on at once.
+_KEPT = 53
+_DROPPED = np.uint64(64 - _KEPT)
+
+
 def shingle_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each text, sorted within the text; how many each has.
+    """Distinct shingle hashes of each text, sorted within the text; how many each has.  2**11 texts at most.
 
     A text with one to four words has one shingle, the whole sequence; one without words none.
     """
     tokens, n = flat_tokens(texts)
-    doc = np.repeat(np.arange(len(texts)), n)
+    doc = np.repeat(np.arange(len(texts), dtype=np.uint64), n)
     start = np.cumsum(n) - n
     h = np.zeros(len(tokens), np.uint64)
     for k in range(WORDS):
         h[: len(tokens) - k] += tokens[k:] * _COEFFICIENTS[k]
-    whole = np.arange(len(tokens)) + WORDS <= (start + n)[doc]
-    first_of_short = np.zeros(len(tokens), bool)
-    short = (n > 0) & (n < WORDS)
-    first_of_short[start[short]] = True
-    for i in np.flatnonzero(short):
+    keep = np.ones(len(tokens), bool)
+    for k in range(1, WORDS):
+        keep[(start + n - k)[n >= k]] = False  # a shingle would run out of its text
+    short = np.flatnonzero((n > 0) & (n < WORDS))
+    for i in short:
         s = slice(start[i], start[i] + n[i])
         h[start[i]] = (tokens[s] * _COEFFICIENTS[: n[i]]).sum(dtype=np.uint64) + np.uint64(n[i])
-    keep = whole | first_of_short
-    h, doc = mix(h[keep]), doc[keep]
-    order = np.lexsort((h, doc))
-    h, doc = h[order], doc[order]
-    fresh = np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])] if len(h) else np.zeros(0, bool)
-    h, doc = h[fresh], doc[fresh]
-    return h, np.bincount(doc, minlength=len(texts)).astype(np.int64)
+    keep[start[short]] = True
+    key = (mix(h[keep]) >> _DROPPED) | (doc[keep] << np.uint64(_KEPT))
+    key.sort()
+    if len(key):
+        key = key[np.r_[True, key[1:] != key[:-1]]]
+    return key << _DROPPED, np.bincount((key >> np.uint64(_KEPT)).astype(np.int64), minlength=len(texts)).astype(np.int64)
 
 
 def set_names(h: np.ndarray, n: np.ndarray) -> np.ndarray:
     """A 64-bit name of each set, the same for equal sets; 0 for empty ones."""
-    sums = np.zeros((2, len(n)), np.uint64)
-    doc = np.repeat(np.arange(len(n)), n)
-    np.add.at(sums[0], doc, mix(h ^ np.uint64(0x5851F42D4C957F2D)))
-    np.bitwise_xor.at(sums[1], doc, mix(h + np.uint64(0x14057B7EF767814F)))
-    return np.where(n > 0, mix(sums[0] + mix(sums[1]) * np.uint64(3) + n.astype(np.uint64)), np.uint64(0))
+    out = np.zeros(len(n), np.uint64)
+    some = np.flatnonzero(n)
+    if len(some):
+        starts = (np.cumsum(n) - n)[some]
+        one = np.add.reduceat(mix(h ^ np.uint64(0x5851F42D4C957F2D)), starts)
+        two = np.add.reduceat(mix(h + np.uint64(0x14057B7EF767814F)), starts)
+        out[some] = mix(one + mix(two) * np.uint64(3) + n[some].astype(np.uint64))
+    return out
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -91,7 +98,7 @@ def _read(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
                     if x not in seen:
                         seen.add(x)
                         fresh[k] = True
-                np.add.at(cells, (h[np.repeat(fresh, n)] >> np.uint64(64 - LOG_CELLS)).astype(np.int64), 1)
+                cells += np.bincount((h[np.repeat(fresh, n)] >> np.uint64(64 - LOG_CELLS)).astype(np.int64), minlength=1 << LOG_CELLS).astype(np.int32)
                 size = len(n)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[part], pa.array(n, pa.int64()), _signed(name), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())],
@@ -129,13 +136,15 @@ def _frequencies(read: DataFrame) -> np.ndarray:
 def _postings(docs: DataFrame, cells: np.ndarray, text_col: str) -> DataFrame:
     """A row per shingle in an entity's prefix: shingle, entity, set size, place in rare-first order."""
     # rank of each cell by frequency: the one order that all tasks sort by
+    cell = np.argsort(cells, kind="stable").astype(np.uint32)
     rank = np.empty(len(cells), np.uint32)
-    rank[np.argsort(cells, kind="stable")] = np.arange(len(cells), dtype=np.uint32)
-    shared = docs.sparkSession.sparkContext.broadcast((rank, cells > HOT))
+    rank[cell] = np.arange(len(cells), dtype=np.uint32)
+    shared = docs.sparkSession.sparkContext.broadcast((rank, cell, cells > HOT))
+    rest = np.uint64(_KEPT - LOG_CELLS)  # bits of a hash below those of its cell
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        rank, hot = shared.value
+        rank, cell, hot = shared.value
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for part in chunks(texts, 1 << 20):
@@ -146,10 +155,13 @@ def _postings(docs: DataFrame, cells: np.ndarray, text_col: str) -> DataFrame:
                     if x and x not in seen:  # copies in the same task post once
                         seen.add(x)
                         fresh[k] = True
-                keep = np.repeat(fresh, n)
-                h, doc = h[keep], np.repeat(np.arange(len(n)), n)[keep]
-                order = np.lexsort((h, rank[(h >> np.uint64(64 - LOG_CELLS)).astype(np.int64)], doc))
-                h, doc = h[order], doc[order]
+                h, doc = h[np.repeat(fresh, n)], np.repeat(np.flatnonzero(fresh), n[fresh])
+                # the text, then the rank of the cell, then what the cell leaves of the hash: sorted as one number
+                low = (h >> _DROPPED) & np.uint64((1 << int(rest)) - 1)
+                key = (doc.astype(np.uint64) << np.uint64(_KEPT)) | (rank[(h >> np.uint64(64 - LOG_CELLS)).astype(np.int64)].astype(np.uint64) << rest) | low
+                key.sort()
+                where = cell[((key >> rest) & np.uint64((1 << LOG_CELLS) - 1)).astype(np.int64)].astype(np.uint64)
+                h = (where << np.uint64(64 - LOG_CELLS)) | ((key & np.uint64((1 << int(rest)) - 1)) << _DROPPED)
                 sizes = np.where(fresh, n, 0)
                 place = np.arange(len(h)) - (np.cumsum(sizes) - sizes)[doc]
                 prefix = n - (-(-NUM * n // DEN)) + 1
@@ -198,6 +210,11 @@ def _meeting(postings: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for h, e, n, p, s in _groups(batches):
+            same = h[1:] == h[:-1]
+            several = np.r_[False, same] | np.r_[same, False] | (s > 0)
+            h, e, n, p, s = h[several], e[several], n[several], p[several], s[several]
+            if not len(h):
+                continue
             order = np.lexsort((e, h))
             h, e, n, p, s = h[order], e[order], n[order], p[order], s[order]
             one = np.r_[True, (h[1:] != h[:-1]) | (e[1:] != e[:-1])]  # an entity that several tasks posted
@@ -281,22 +298,34 @@ def _blocks(todo: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
 
 
 def _texts(docs: DataFrame, meeting: DataFrame, read: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """Settled: entity and text, one for each entity that shares a shingle."""
+    """Settled: entity and text, one for each entity that shares a shingle.
+
+    Texts are fetched by their id: a filter of fixed size picks them on the scan, so
+    the others are not shuffled.  Where ids are repeated the text's set must also
+    have the entity's name.
+    """
+    rows = read.where("part is null and n > 0")
     wanted = meeting.select("e").distinct()
-    ids = read.where("part is null and n > 0").groupBy("entity").agg(F.min("doc_id").alias("doc_id"))
-    chosen = ids.join(wanted, ids["entity"] == wanted["e"]).select(F.xxhash64("doc_id").alias("k"))
-    bloom = docs.sparkSession.sparkContext.broadcast(build_bloom(chosen, LOG_FETCH, 4))
+    ids = rows.groupBy("entity").agg(F.min("doc_id").alias("doc_id"))
+    chosen = settle(ids.join(wanted, ids["entity"] == wanted["e"]).select("e", F.col("doc_id").alias("_id")))
+    repeated = rows.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count() > 0
+    bloom = docs.sparkSession.sparkContext.broadcast(build_bloom(chosen.select(F.xxhash64("_id").alias("k")), LOG_FETCH, 4))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.flatnonzero(bloom.value.has(batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)))
-            texts = batch.column(0).take(pa.array(rows)).to_pylist()
-            for part in chunks(texts):
-                h, n = shingle_sets(texts[part])
-                yield pa.RecordBatch.from_arrays([_signed(set_names(h, n)), pa.array(texts[part], pa.string())], names=["e", "text"])
+            yield batch.filter(pa.array(bloom.value.has(batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64))))
 
-    found = docs.select(F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(id_col).cast("long")).alias("k")).mapInArrow(run, "e long, text string")
-    found = found.join(wanted, "e", "left_semi")
+    def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, names = batch.column(1).to_pylist(), batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            keep = [set_names(*shingle_sets(texts[part])) == names[part] for part in chunks(texts)]
+            yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
+
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    found = source.withColumn("k", F.xxhash64("doc_id")).mapInArrow(pick, "doc_id long, text string, k long")
+    if not repeated:
+        return settle(found.join(chosen, found["doc_id"] == chosen["_id"]).select("e", "text"))
+    found = found.join(chosen, found["doc_id"].eqNullSafe(chosen["_id"])).select("e", "text").mapInArrow(same, "e long, text string")
     return settle(found.groupBy("e").agg(F.first("text").alias("text")))
 
 
