@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..checkpoints import number_rows, running_count
-from .shape import message
+from .shape import by_name, message
 
 
 def _print(messages: Column) -> Column:
@@ -22,7 +22,7 @@ def sessionize(traces: DataFrame, *order: str) -> DataFrame:
     that one's messages and completion.  Traces without messages or completion are
     left out and break nothing.  Only fingerprints are ordered; no task sees all rows.
     """
-    rows = traces.where(F.col("messages").isNotNull() & F.col("completion").isNotNull())
+    rows = by_name(traces).where(F.col("messages").isNotNull() & F.col("completion").isNotNull())
     n = F.size("messages")
     rows = rows.withColumns({
         "_context": _print(F.when(n > 1, F.slice("messages", 1, n - 1)).otherwise(F.slice("messages", 1, 0))),

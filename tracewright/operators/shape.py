@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.json_values import items, kind, text_at
 from ..schemas import MESSAGES
@@ -55,6 +56,16 @@ def conversation_traces(conversations: DataFrame) -> DataFrame:
     return rows.where((F.col("role") == "assistant") & (F.size("messages") > 0)).select("conv_id", "turn", F.col("messages").cast(MESSAGES).alias("messages"), F.coalesce("text", F.lit("")).alias("completion"))
 
 
+def by_name(df: DataFrame) -> DataFrame:
+    """``df`` with the fields of message columns in their fixed order, whatever order a reader inferred."""
+    out = df
+    for name in ("messages", "original_messages"):
+        kind = df.schema[name].dataType if name in df.columns else None
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType) and {"role", "content"} <= set(kind.elementType.names):
+            out = out.withColumn(name, F.transform(name, lambda m: message(m["role"], m["content"])).cast(MESSAGES))
+    return out
+
+
 def first_n(df: DataFrame, n: int | None, *order: str) -> DataFrame:
     """The first n rows in order; all of them for None, 0 or less."""
     return df.orderBy(*order).limit(n) if n and n > 0 else df

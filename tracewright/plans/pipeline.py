@@ -158,7 +158,7 @@ class Runner:
             except FileNotFoundError as e:
                 raise PipelineError(f"{step.name}: no input {e}") from e
             order = [c for c in ("ord", "trace_id") if c in df.columns]
-            out = self.stages[step.stage](shape.first_n(df, step.limit, *order), **step.options)
+            out = self.stages[step.stage](shape.first_n(shape.by_name(df), step.limit, *order), **step.options)
             path = self._path(step)
             writers.replace_table(out, path)
             written = self.spark.read.parquet(path)

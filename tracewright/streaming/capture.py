@@ -35,11 +35,11 @@ def stream_extract(traffic: DataFrame, targets=TARGET_HOSTS) -> DataFrame:
 SESSION = "key string, ord long, session_id string, turn_in_session_id int"
 
 
-def stream_sessions(traces: DataFrame, key_col: str, timeout: str = "1 hour") -> DataFrame:
+def stream_sessions(traces: DataFrame, key_col: str, timeout: str | None = "1 hour") -> DataFrame:
     """Session and turn of each trace within its key, in order of arrival and ``ord``.
 
     A key's state is the fingerprint of its last trace, its session and turn; it
-    is dropped when the key is silent for the timeout.  Unlike in batch, traces of
+    is dropped when the key is silent for the timeout, and never for None.  Unlike in batch, traces of
     other keys between two turns do not break a session.
     """
     n = F.size("messages")
@@ -49,7 +49,7 @@ def stream_sessions(traces: DataFrame, key_col: str, timeout: str = "1 hour") ->
         _print(F.when(n > 1, F.slice("messages", 1, n - 1)).otherwise(F.slice("messages", 1, 0))).alias("context"),
         _print(F.concat("messages", F.array(message(F.lit("assistant"), F.col("completion"))))).alias("whole"),
     )
-    wait = int(pd.Timedelta(timeout).total_seconds() * 1000)
+    wait = int(pd.Timedelta(timeout).total_seconds() * 1000) if timeout else 0
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -68,6 +68,7 @@ def stream_sessions(traces: DataFrame, key_col: str, timeout: str = "1 hour") ->
                 out.append((key[0], ord_, f"session_{session:03d}", turn))
             yield pd.DataFrame(out, columns=["key", "ord", "session_id", "turn_in_session_id"])
         state.update((last, session, turn))
-        state.setTimeoutDuration(wait)
+        if wait:
+            state.setTimeoutDuration(wait)
 
-    return rows.groupBy("key").applyInPandasWithState(step, SESSION, "last string, session int, turn int", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return rows.groupBy("key").applyInPandasWithState(step, SESSION, "last string, session int, turn int", "append", GroupStateTimeout.ProcessingTimeTimeout if wait else GroupStateTimeout.NoTimeout)
