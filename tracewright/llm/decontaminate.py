@@ -23,15 +23,15 @@ from .common import small_batches, table
 from .hashing import chunks, mix, plain_hashes
 
 #: Words of a passage and of half a window, latent dimensions, extra columns and rounds of the randomised SVD.
-PASSAGE, STRIDE, RANK, OVERSAMPLE, ROUNDS, SEED = 48, 24, 128, 16, 2, 7
+PASSAGE, STRIDE, RANK, OVERSAMPLE, ROUNDS, SEED = 48, 24, 320, 16, 2, 7
 #: Cells of the document-frequency sketch, parts it is summed in; words in more than this part of documents weigh nothing.
 LOG_CELLS, LOG_PARTS, MAX_DF = 18, 9, 0.2
 #: Weight of a word at most, so that the rare words around a leak don't hide it.
 IDF_CAP = 4.0
 #: Least cosine of a candidate; least part of an item, and of its answer, in common order; part that needs no answer.
-COSINE, COMMON, ANSWER, ENOUGH = 0.28, 0.6, 0.5, 0.8
-#: Items taken at once; items of fewer words must appear whole and unbroken.
-BLOCK, SHORT = 2000, 8
+COSINE, COMMON, ANSWER, ENOUGH = 0.35, 0.6, 0.5, 0.8
+#: Items taken at once, so few that RANK keeps nearly all that sets them apart; items of fewer words must appear whole and unbroken.
+BLOCK, SHORT = 250, 8
 
 
 def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
@@ -44,9 +44,7 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, in
             texts = batch.column(0).to_pylist()
             rows += len(texts)
             for part in chunks(texts):
-                tokens, n = plain_hashes(texts[part])
-                pairs = np.unique((np.repeat(np.arange(len(n)), n) << LOG_CELLS) | _cells(tokens))
-                cells += np.bincount(pairs & ((1 << LOG_CELLS) - 1), minlength=1 << LOG_CELLS).astype(np.int32)
+                cells += np.bincount(_cells(plain_hashes(texts[part], distinct=True)[0]), minlength=1 << LOG_CELLS).astype(np.int32)
         some = [k for k in range(1 << LOG_PARTS) if cells[k * step : (k + 1) * step].any()]
         blobs = [cells[k * step : (k + 1) * step].tobytes() for k in some]
         yield pa.RecordBatch.from_arrays([pa.array([-1, *some], pa.int32()), pa.array([np.int64(rows).tobytes(), *blobs], pa.binary())], names=["part", "cells"])
@@ -170,10 +168,11 @@ class Index:
 
     idf: np.ndarray
     vocabulary: np.ndarray
-    vectors: np.ndarray
-    passages: np.ndarray  # unit latent vectors
+    gains: np.ndarray  # what a word adds to the inner product with each passage, in latent space
+    most: np.ndarray  # the most that a word adds for any passage
     owner: np.ndarray  # item of each passage
     items: list[tuple[int, list[int], list[int]]]  # id, words, words of the answer
+    sorted_words: list[np.ndarray]  # of each item
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, float, float, float]]:
         """(text, item, cosine, common part, common part of the answer) of every leak."""
@@ -191,12 +190,13 @@ class Index:
         known = (self.vocabulary[word] == tokens) & (weight > 0)
         total = int(pieces.sum())
         square = weight.astype(np.float64) ** 2
-        all2, in2 = np.bincount(piece, square, total + 1), np.bincount(piece[known], square[known], total + 1)
+        all2 = np.bincount(piece, square, total + 1)
+        most = np.bincount(piece[known], self.most[word[known]], total + 1)
         of = np.repeat(np.arange(len(n)), pieces)
         two = np.r_[of[1:] == of[:-1], False]  # the piece and the next are one text's
-        all2, in2 = all2[:-1] + np.where(two, all2[1:], 0), in2[:-1] + np.where(two, in2[1:], 0)
-        # projection never lengthens a vector, so this bound loses no candidate
-        hopeful = np.flatnonzero((in2 > 0) & (in2 >= COSINE**2 * all2))
+        all2, most = all2[:-1] + np.where(two, all2[1:], 0), most[:-1] + np.where(two, most[1:], 0)
+        # no passage gains more from a window than the most that any gains from each word: the bound loses no candidate
+        hopeful = np.flatnonzero((most > 0) & (most >= COSINE * np.sqrt(all2)))
         if len(hopeful):
             need = np.zeros(total + 1, bool)
             need[hopeful] = True
@@ -204,12 +204,14 @@ class Index:
             take = np.flatnonzero(known & need[piece])
             at = piece[take]
             cuts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-            sums = np.add.reduceat(self.vectors[word[take]] * weight[take, None], cuts, axis=0)
+            sums = np.add.reduceat(self.gains[word[take]], cuts, axis=0)
             row = np.full(total + 1, -1)
             row[at[cuts]] = np.arange(len(cuts))
             sums = np.vstack([sums, np.zeros((1, sums.shape[1]), np.float32)])
-            z = sums[row[hopeful]] + np.where(two[hopeful, None], sums[row[np.minimum(hopeful + 1, total)]], 0)
-            cosine = (z @ self.passages.T) / np.sqrt(all2[hopeful])[:, None]
+            cosine = sums[row[hopeful]]
+            pairs = np.flatnonzero(two[hopeful])
+            cosine[pairs] += sums[row[hopeful[pairs] + 1]]
+            cosine /= np.sqrt(all2[hopeful]).astype(np.float32)[:, None]
             for i, j in zip(*np.nonzero(cosine >= COSINE), strict=True):
                 d, item = int(of[hopeful[i]]), int(self.owner[j])
                 if (d, item) in out and out[d, item][1] == 1.0:
@@ -218,13 +220,19 @@ class Index:
                 _, words, answer = self.items[item]
                 a = start[d] + (hopeful[i] - first[d]) * STRIDE
                 lo, hi = max(start[d], a - len(words)), min(start[d] + n[d], a + 2 * STRIDE + len(words))
-                region = tokens[lo:hi].tolist()
+                region = tokens[lo:hi]
+                own = self.sorted_words[item]
+                region = region[own[np.minimum(np.searchsorted(own, region), len(own) - 1)] == region]
+                if len(region) < COMMON * len(words):  # a bound on what is in common order
+                    continue
+                region = region.tolist()
                 common = common_length(words, region) / len(words)
                 if common < COMMON or (d, item) in out and out[d, item][1] >= common:
                     continue
                 answered = common_length(answer, region) / len(answer)
                 leak = common >= ENOUGH or answered >= ANSWER
                 if len(words) < SHORT:
+                    region = tokens[lo:hi].tolist()
                     leak = any(region[k : k + len(words)] == words for k in range(len(region) - len(words) + 1))
                 if leak:
                     out[d, item] = float(cosine[i, j]), common, answered
@@ -256,7 +264,10 @@ def build_index(spark: SparkSession, items: list[tuple[int, str, str | None]], i
     vocabulary, vectors = randomized_svd(spark, rows, RANK)
     latent = np.array([w @ vectors[np.searchsorted(vocabulary, t)] for t, w in rows], np.float32).reshape(len(rows), -1)
     norms = np.linalg.norm(latent, axis=1, keepdims=True)
-    return Index(idf, vocabulary, vectors, latent / np.maximum(norms, 1e-9), np.array(owner, np.int64), known)
+    # folding a window in is linear, so its words' products with the unit passages can be added up instead
+    gains = (vectors * idf[_cells(vocabulary)][:, None]) @ (latent / np.maximum(norms, 1e-9)).T
+    most = gains.max(axis=1, initial=0).clip(0).astype(np.float64)
+    return Index(idf, vocabulary, np.ascontiguousarray(gains, np.float32), most, np.array(owner, np.int64), known, [np.array(sorted({*words, *last}), np.uint64) for _, words, last in known])
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, answer_col: str | None) -> Iterator[list[tuple[int, str, str | None]]]:
@@ -300,7 +311,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col:
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 names, texts = batch.column(0), batch.column(1).to_pylist()
-                for part in chunks(texts):
+                for part in chunks(texts, 1 << 19):
                     found = shared.value.search(texts[part])
                     rows = [names[part.start + d].as_py() for d, *_ in found]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([rows, *([x[k] for x in found] for k in range(1, 5))], arrow.types, strict=True)], schema=arrow)
@@ -323,7 +334,7 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
             for batch in batches:
                 texts = batch.column(at).to_pylist()
                 keep = np.ones(len(texts), bool)
-                for part in chunks(texts):
+                for part in chunks(texts, 1 << 19):
                     for d, *_ in shared.value.search(texts[part]):
                         keep[part.start + d] = False
                 yield batch.filter(pa.array(keep))

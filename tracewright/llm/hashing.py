@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 #: Hashes of words that a worker remembers.
 REMEMBERED = 400_000
-#: Signs stripped from the ends of plain words.
-PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+#: What plain words are split from: capitals become small, ASCII signs become spaces.
+_PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c > 126 or chr(c).isalnum() else 32 for c in range(256))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -25,17 +25,7 @@ class _Hashes(dict):
         return value
 
 
-class _Plain(_Hashes):
-    """Of the word in lower case without the signs around it."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.strip(PUNCTUATION).lower())
-        return value
-
-
-_hashes, _plain = _Hashes(), _Plain()
+_hashes = _Hashes()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -61,24 +51,30 @@ def flat_tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return token_hashes(flat), lengths
 
 
-def plain_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """As flat_tokens, of words without the signs around them."""
+def plain_hashes(texts: list[str | None], distinct: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """As flat_tokens, of words split at signs too; distinct: each word of a text once, in any order."""
     flat: list[bytes] = []
     lengths = np.zeros(len(texts), np.int64)
     for k, text in enumerate(texts):
         if text:
-            words = text.encode("utf-8", "surrogatepass").split()
+            words = text.encode("utf-8", "surrogatepass").translate(_PLAIN).split()
+            if distinct:
+                words = set(words)
             flat += words
             lengths[k] = len(words)
-    return np.fromiter(map(_plain.__getitem__, flat), np.uint64, len(flat)), lengths
+    return token_hashes(flat), lengths
+
+
+#: Texts that are worked on at once.
+CHUNK_ROWS = 2000
 
 
 def chunks(texts: list, size: int = 1 << 21) -> Iterator[slice]:
-    """Slices of a list of texts with about so many characters each."""
+    """Slices of a list of texts with about so many characters each, CHUNK_ROWS texts at most."""
     start, total = 0, 0
     for k, text in enumerate(texts):
         total += len(text or "")
-        if total >= size:
+        if total >= size or k + 1 - start >= CHUNK_ROWS:
             yield slice(start, k + 1)
             start, total = k + 1, 0
     if start < len(texts):
@@ -107,10 +103,13 @@ class Bloom:
         """Which keys may be in; all that were put in are."""
         width = self.log_bits - self.log_parts
         base = (keys >> np.uint64(64 - self.log_parts)) << np.uint64(width)
-        out = np.ones(len(keys), bool)
-        for place in self.places(keys, width, self.hashes):
-            at = base | place
-            out &= (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        left = np.arange(len(keys))
+        for k, place in enumerate(self.places(keys, width, self.hashes)):
+            at = base[left] | place[left] if k else base | place
+            # only keys that every bit so far speaks for are looked at again
+            left = left[(self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+        out = np.zeros(len(keys), bool)
+        out[left] = True
         return out
 
 
@@ -119,8 +118,8 @@ def put_keys(held: dict[int, np.ndarray], values: np.ndarray, width: int, log_pa
     parts = (values >> np.uint64(64 - log_parts)).astype(np.int64)
     order = np.argsort(parts, kind="stable")
     values, parts = values[order], parts[order]
-    cuts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]]) if len(parts) else []
-    for a, b in zip(cuts, [*cuts[1:], len(parts)], strict=True):
+    cuts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]]) if len(parts) else np.zeros(0, np.int64)
+    for a, b in zip(cuts, np.append(cuts, len(parts))[1:], strict=True):
         bits = held.setdefault(int(parts[a]), np.zeros(1 << (width - 3), np.uint8))
         for place in Bloom.places(values[a:b], width, hashes):
             np.bitwise_or.at(bits, (place >> np.uint64(3)).astype(np.int64), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
