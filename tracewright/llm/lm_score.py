@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,11 +24,13 @@ from .hashing import Bloom, build_bloom, chunks, mix, put_keys, token_hashes
 #: The end of a text, a token of its own, and what stands before the first word; no word has a space in it.
 END, START = b" end", b" start"
 #: Ratio of neighbouring levels, hash functions, bits of the filters, parts they are built in.
-BASE, HASHES, LOG_UNIGRAM_BITS, LOG_BIGRAM_BITS, LOG_PARTS = 1.5, 3, 27, 29, 8
+BASE, HASHES, LOG_UNIGRAM_BITS, LOG_BIGRAM_BITS, LOG_PARTS = 1.5, 3, 27, 28, 8
 #: Bigrams seen less often are not stored; most words in the head.
 LEAST_BIGRAM, HEAD = 2, 300_000
 #: What a counting worker holds before it passes it on: words, bigrams.
-HELD_WORDS, HELD_BIGRAMS = 400_000, 4_000_000
+HELD_WORDS, HELD_BIGRAMS = 300_000, 3_000_000
+#: Words that a scoring worker remembers.
+REMEMBERED = 300_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64((1 << (64 - LOG_PARTS)) - 1)
 
@@ -88,16 +91,15 @@ def _words(texts: list[str | None]) -> tuple[list[bytes], np.ndarray]:
     return flat, n
 
 
-def _with_ends(hashes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _with_ends(tokens: np.ndarray, n: np.ndarray, end, start) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens with an end after every text, what stands before each, and the text of each."""
     doc = np.repeat(np.arange(len(n)), n + 1)
-    end, start = token_hashes([END, START])
     last = np.cumsum(n + 1) - 1
-    now = np.empty(len(doc), np.uint64)
+    now = np.empty(len(doc), tokens.dtype)
     inside = np.ones(len(doc), bool)
     inside[last] = False
-    now[inside], now[last] = hashes, end
-    before = np.empty(len(doc), np.uint64)
+    now[inside], now[last] = tokens, end
+    before = np.empty(len(doc), tokens.dtype)
     before[1:] = now[:-1]
     before[last - n] = start
     return now, before, doc
@@ -147,7 +149,7 @@ def bigram_filter(train: DataFrame, text_col: str, tokens: int) -> tuple[Bloom,
             cuts = np.flatnonzero(np.r_[True, ranges[1:] != ranges[:-1]]) if len(keys) else np.zeros(0, np.int64)
             rest = ((keys << np.uint64(log_ranges)) >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
             blobs, more = [], []
-            for a, b in zip(cuts, [*cuts[1:], len(keys)], strict=True):
+            for a, b in zip(cuts, np.append(cuts, len(keys))[1:], strict=True):
                 blobs.append(np.ascontiguousarray(rest[a:b]).tobytes())
                 often = np.flatnonzero(n[a:b] > 1)
                 more.append(np.r_[often, n[a:b][often]].astype(np.int32).tobytes())
@@ -157,7 +159,7 @@ def bigram_filter(train: DataFrame, text_col: str, tokens: int) -> tuple[Bloom,
             texts = batch.column(0).to_pylist()
             for part in chunks(texts):
                 flat, n = _words(texts[part])
-                now, before, _ = _with_ends(token_hashes(flat), n)
+                now, before, _ = _with_ends(token_hashes(flat), n, *token_hashes([END, START]))
                 held.append(bigram_keys(before, now))
                 if sum(map(len, held)) > HELD_BIGRAMS:
                     yield flush()
@@ -239,6 +241,38 @@ def _head(vocabulary: DataFrame) -> dict[bytes, int]:
     return {bytes(r["token"]): r["c"] for r in vocabulary.where(step >= least).toLocalIterator()}
 
 
+class _Words(dict):
+    """Numbers of words; what a scoring worker knows of a word lies in arrays by number, the end and start at 0 and 1."""
+
+    def __init__(self, head: dict[bytes, int], unigrams: Bloom):
+        super().__init__()
+        self.head, self.unigrams = head, unigrams
+        self.forget()
+
+    def __missing__(self, word: bytes) -> int:
+        self.fresh.append(word)
+        number = self[word] = self.known + len(self.fresh) - 1
+        return number
+
+    def forget(self) -> None:
+        self.clear()
+        self.fresh, self.known = [], 0
+        self.hashes, self.counts, self.means = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
+        self.numbers([END, START])
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The words' numbers; new words are hashed, looked up in the head and probed together."""
+        out = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.fresh:
+            h = np.fromiter(map(xxhash.xxh3_64_intdigest, self.fresh), np.uint64, len(self.fresh))
+            self.hashes = np.concatenate([self.hashes, h])
+            self.counts = np.concatenate([self.counts, np.array([self.head.get(w, 0) for w in self.fresh], np.int64)])
+            self.means = np.concatenate([self.means, MEANS[probe(self.unigrams, mix(h))]])
+            self.known += len(self.fresh)
+            self.fresh = []
+        return out
+
+
 def lm_score(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -260,24 +294,28 @@ def lm_score(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, unigrams, (bigrams, weight) = shared.value
+        known_words = _Words(head, unigrams)
         for batch in batches:
             texts = batch.column(2).to_pylist()
             for part in chunks(texts):
+                if len(known_words) > REMEMBERED:
+                    known_words.forget()
                 flat, n = _words(texts[part])
                 size = len(n)
                 doc = np.repeat(np.arange(size), n)
-                c = np.fromiter((head.get(w, 0) for w in flat), np.int64, len(flat))
+                number = known_words.numbers(flat)
+                c = known_words.counts[number]
                 base = np.bincount(doc, np.where(c > 0, np.log10((c + 0.5) / below), 0.0), size) + np.log10((ends + 0.5) / below)
                 known = np.bincount(doc, c > 0, size).astype(np.int64) + (ends > 0)
                 tails: list[Counter] = [Counter() for _ in range(size)]
-                for k in np.flatnonzero(c == 0).tolist():
-                    tails[doc[k]][flat[k]] += 1
-
-                now, before, at = _with_ends(token_hashes(flat), n)
-                some, back = np.unique(np.r_[now, before], return_inverse=True)
-                counts = MEANS[probe(unigrams, mix(some))][back]
-                c_now, c_before = counts[: len(now)], counts[len(now) :]
-                pair = MEANS[probe(bigrams, truncated(bigram_keys(before, now), tokens))]
+                rare = np.flatnonzero(c == 0)
+                for k, d in zip(rare.tolist(), doc[rare].tolist(), strict=True):
+                    tails[d][flat[k]] += 1
+
+                now, before, at = _with_ends(number, n, 0, 1)
+                c_now, c_before = known_words.means[now], known_words.means[before]
+                keys = bigram_keys(known_words.hashes[before], known_words.hashes[now])
+                pair = MEANS[probe(bigrams, truncated(keys, tokens))]
                 pair = np.minimum(pair, np.minimum(c_now, c_before))
                 chance = weight * pair / np.maximum(c_before, 1) + (1 - weight) * (c_now + 0.5) / below
                 score = np.bincount(at, np.log10(chance), size)
