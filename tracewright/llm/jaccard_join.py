@@ -29,6 +29,8 @@ WORDS, NUM, DEN = 5, 75, 100
 LOG_CELLS, LOG_PARTS, LOG_FETCH = 18, 9, 24
 #: Shingles in a cell with more entities than this are dealt out to so many tasks.
 HOT, SALTS = 200_000, 256
+#: Cells of a set's print; rounds in which components meet by one pair a posting before all pairs left are tried.
+LOG_PRINT, ROUNDS = 10, 3
 #: Texts whose shingles the verifying worker remembers.
 REMEMBERED = 256
 _COEFFICIENTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
@@ -257,17 +259,44 @@ def _hub_pairs(meeting: DataFrame) -> DataFrame:
     return pairs
 
 
-def _cross_pairs(meeting: DataFrame, roots: DataFrame) -> DataFrame:
-    """All pairs of a shingle's postings in different components that pass the filters, in blocks."""
+def _prints(texts: DataFrame) -> DataFrame:
+    """Settled: entity and its set's parity in 2**LOG_PRINT hash cells, 128 bytes.
+
+    Sets differ in at least as many shingles as their prints differ in bits.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(1).to_pylist()
+            for part in chunks(rows, 1 << 20):
+                h, n = shingle_sets(rows[part])
+                at = (np.repeat(np.arange(len(n)), n) << LOG_PRINT) | (h >> np.uint64(64 - LOG_PRINT)).astype(np.int64)
+                odd = (np.bincount(at, minlength=len(n) << LOG_PRINT) & 1).astype(np.uint8).reshape(len(n), -1)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[part], pa.array([x.tobytes() for x in np.packbits(odd, axis=1)], pa.binary())], names=["e", "print"])
+
+    return settle(texts.mapInArrow(run, "e long, print binary"))
+
+
+def _open(meeting: DataFrame, roots: DataFrame) -> DataFrame:
+    """Settled postings with their component, of the shingles whose entities are in several components."""
     named = meeting.join(roots, "e", "left").select("h", "e", "n", "p", F.coalesce("root", "e").alias("root"))
-    # shingles whose entities are all in one component have nothing left to say
-    open_ = named.groupBy("h").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo != _hi").select("h")
-    named = named.join(open_, "h", "left_semi")
+    several = named.groupBy("h").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo != _hi").select("h")
+    return settle(named.join(several, "h", "left_semi"))
+
+
+def _cross_pairs(named: DataFrame, prints: DataFrame, one_each: bool) -> DataFrame:
+    """Pairs of a shingle's postings in different components that pass all filters, in blocks.
+
+    one_each: of each posting only the first such pair on either side, so that
+    components meet in numbers that grow with the postings; else every pair.
+    """
+    marked = named.join(prints, "e").select("h", "e", "n", "p", "root", "print")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for h, e, n, p, root in _groups(batches):
+        for h, e, n, p, root, bits in _groups(batches):
             order = np.lexsort((e, n, h))
-            h, e, n, p, root = h[order], e[order], n[order].astype(np.int64), p[order].astype(np.int64), root[order]
+            h, e, n, p, root, bits = h[order], e[order], n[order].astype(np.int64), p[order].astype(np.int64), root[order], bits[order]
+            bits = np.frombuffer(b"".join(bits), np.uint64).reshape(len(h), -1)
             starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
             for i, j in zip(starts, [*starts[1:], len(h)], strict=True):
                 if (root[i:j] == root[i]).all():
@@ -275,19 +304,32 @@ def _cross_pairs(meeting: DataFrame, roots: DataFrame) -> DataFrame:
                 # sorted by size: the partners of each entity that the length filter lets through are one slice
                 end = i + np.searchsorted(n[i:j], DEN * n[i:j] // NUM, "right")
                 todo = np.maximum(end - np.arange(i, j) - 1, 0)
+                met = np.zeros(j - i, bool)
                 for lo, hi in _blocks(todo):
                     left = np.repeat(np.arange(i + lo, i + hi), todo[lo:hi])
                     off = np.arange(len(left)) - np.repeat(np.cumsum(todo[lo:hi]) - todo[lo:hi], todo[lo:hi])
                     right = left + 1 + off
                     ok = (root[left] != root[right]) & _fits(n[left], p[left], n[right], p[right])
-                    if ok.any():
-                        left, right = e[left[ok]], e[right[ok]]
+                    left, right = left[ok], right[ok]
+                    both = n[left] + n[right]
+                    apart = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1, dtype=np.int64)
+                    ok = (NUM + DEN) * (both - apart) >= 2 * NUM * both
+                    left, right = left[ok], right[ok]
+                    if one_each and len(left):
+                        first = np.zeros(len(left), bool)
+                        first[np.unique(left, return_index=True)[1]] = True
+                        late, at = np.unique(right, return_index=True)
+                        first[at[~met[late - i]]] = True
+                        met[late - i] = True
+                        left, right = left[first], right[first]
+                    if len(left):
+                        left, right = e[left], e[right]
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right))], names=["a", "b"])
 
-    return named.repartition("h").sortWithinPartitions("h").mapInArrow(run, "a long, b long")
+    return marked.repartition("h").sortWithinPartitions("h").mapInArrow(run, "a long, b long")
 
 
-def _blocks(todo: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _blocks(todo: np.ndarray, most: int = 1 << 17) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about so many pairs together."""
     total = np.cumsum(todo)
     lo = 0
@@ -329,6 +371,18 @@ def _texts(docs: DataFrame, meeting: DataFrame, read: DataFrame, text_col: str,
     return settle(found.groupBy("e").agg(F.first("text").alias("text")))
 
 
+def _wanted_texts(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The texts of these pairs, picked where they lie by a filter of fixed size."""
+    keys = pairs.select(F.xxhash64("a").alias("k")).unionByName(pairs.select(F.xxhash64("b").alias("k")))
+    bloom = texts.sparkSession.sparkContext.broadcast(build_bloom(keys, LOG_FETCH, 4))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(bloom.value.has(batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64))))
+
+    return texts.withColumn("k", F.xxhash64("e")).mapInArrow(pick, "e long, text string, k long").drop("k")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose whole sets are similar enough.
 
@@ -406,10 +460,17 @@ def jaccard_join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
         tried = settle(_hub_pairs(meeting).distinct())
         links = settle(_verified(tried, texts))
         roots = components(links)
-        rest = settle(_cross_pairs(meeting, roots).distinct().join(tried, ["a", "b"], "left_anti"))
-        if rest.limit(1).count():
-            more = settle(_verified(rest, texts))
-            roots = components(links.unionByName(more))
+        prints = None
+        for k in range(ROUNDS + 1):
+            named = _open(meeting, roots)
+            if not named.limit(1).count():
+                break
+            prints = _prints(texts) if prints is None else prints
+            rest = settle(_cross_pairs(named, prints, k < ROUNDS).distinct().join(tried, ["a", "b"], "left_anti"))
+            if rest.limit(1).count():
+                tried = tried.unionByName(rest)
+                links = links.unionByName(settle(_verified(rest, _wanted_texts(texts, rest))))
+                roots = components(links)
     least = rows.groupBy("entity").agg(F.min("doc_id").alias("first"))
     if roots is not None:
         least = least.join(roots, least["entity"] == roots["e"], "left").select("entity", "first", F.coalesce("root", "entity").alias("root"))
