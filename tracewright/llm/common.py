@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +51,12 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffles and settled rows that nothing refers to any more, ahead of its own periodic cleaning."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder path below the checkpoint folder, as a URI that all executors reach."""
     context = spark.sparkContext

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import settle, small_batches, table
+from .common import release, settle, small_batches, table
 from .hashing import build_bloom, chunks, flat_tokens, mix
 
 #: Words of a shingle, and the similarity that links: 100 * intersection >= 75 * union.
@@ -30,7 +30,7 @@ LOG_CELLS, LOG_PARTS, LOG_FETCH = 18, 9, 24
 #: Shingles in a cell with more entities than this are dealt out to so many tasks.
 HOT, SALTS = 200_000, 256
 #: Cells of a set's print; rounds in which components meet by one pair a posting before all pairs left are tried.
-LOG_PRINT, ROUNDS = 10, 3
+LOG_PRINT, ROUNDS = 10, 1
 #: Texts whose shingles the verifying worker remembers.
 REMEMBERED = 256
 _COEFFICIENTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
@@ -437,6 +437,7 @@ def components(links: DataFrame) -> DataFrame:
         small = down.join(least, "a").select(F.col("b").alias("x"), "m", "a")
         edges = settle(small.where("x != m").select(F.col("x").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+        release(edges.sparkSession)
         if tuple(state) == seen:
             return edges.select(F.col("a").alias("e"), F.col("b").alias("root"))
         seen = tuple(state)
@@ -467,6 +468,7 @@ def jaccard_join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
                 break
             prints = _prints(texts) if prints is None else prints
             rest = settle(_cross_pairs(named, prints, k < ROUNDS).distinct().join(tried, ["a", "b"], "left_anti"))
+            release(docs.sparkSession)
             if rest.limit(1).count():
                 tried = tried.unionByName(rest)
                 links = links.unionByName(settle(_verified(rest, _wanted_texts(texts, rest))))
