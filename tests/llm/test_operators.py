@@ -146,6 +146,24 @@ def test_lm_levels_are_found_again_by_probing():
     assert ratio.min() > 0.6 and ratio.max() < 1.6
 
 
+def test_lm_filters_grow_with_their_keys_and_are_scored_slice_by_slice(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(k, " ".join(f"w{int(rng.paretovariate(0.6)) % 5000}" for _ in range(400)), "s", None) for k in range(250)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    key = lambda r: r["doc_id"]
+    whole = sorted(lm_score.lm_score(df).collect(), key=key)
+    monkeypatch.setattr(lm_score, "LOG_LEAST", 3)
+    small, _ = lm_score.bigram_filter(df, "text", 250 * 401)
+    assert small.log_bits > 3 + lm_score.LOG_PARTS and 0.1 < small.fill < 0.45 and len(small.slices) == 1
+    monkeypatch.setattr(lm_score, "LOG_LEAST", 14)
+    monkeypatch.setattr(lm_score, "LOG_SLICE", 18)
+    cut, _ = lm_score.bigram_filter(df, "text", 250 * 401)
+    assert len(cut.slices) == 16
+    again = sorted(lm_score.lm_score(df).collect(), key=key)
+    assert [(r["doc_id"], r["score"]) for r in again] == [(r["doc_id"], r["score"]) for r in whole]
+    assert lm_score.log_width(1_200_000_000 >> 13, 14) + 13 >= 33  # bigram keys expected at 30 GB, in 2**13 ranges
+
+
 def test_mixing_equals_its_sql_and_meets_its_targets(spark, docs, empty):
     names = ["doc_id", "size", "source_size", "target", "taken", "position", "position_again"]
     got = curriculum_mix.mix(docs)

@@ -96,13 +96,17 @@ class Bloom:
         for i in range(hashes):
             yield (a + np.uint64(i) * b) & mask
 
+    def offset(self, base: np.ndarray) -> np.ndarray:
+        """Where parts that begin at these bits of the whole filter begin in ``bits``."""
+        return base
+
     def __contains__(self, key: int) -> bool:
         return bool(self.has(np.array([key], np.uint64))[0])
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         """Which keys may be in; all that were put in are."""
         width = self.log_bits - self.log_parts
-        base = (keys >> np.uint64(64 - self.log_parts)) << np.uint64(width)
+        base = self.offset((keys >> np.uint64(64 - self.log_parts)) << np.uint64(width))
         left = np.arange(len(keys))
         for k, place in enumerate(self.places(keys, width, self.hashes)):
             at = base[left] | place[left] if k else base | place

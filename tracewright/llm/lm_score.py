@@ -2,8 +2,9 @@
 
 A count is stored as its level on a logarithmic scale: the filter holds the
 n-gram once for every level up to that, and repeated membership probes find the
-level again.  The filter has a fixed size, so every worker can hold it; what is
-counted to fill it is all training text.  The exact unigram base beside it uses a
+level again.  A filter is sized from the keys counted to fill it, which are those of
+all training text, and cut into slices by key range, so that a worker holds one
+slice at a time whatever the input.  The exact unigram base beside it uses a
 broadcast head of frequent words and a join for all the others.
 """
 
@@ -11,20 +12,24 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import settle, small_batches, table
-from .hashing import Bloom, build_bloom, chunks, mix, put_keys, token_hashes
+from .hashing import Bloom, chunks, mix, put_keys, token_hashes
 
 #: The end of a text, a token of its own, and what stands before the first word; no word has a space in it.
 END, START = b" end", b" start"
-#: Ratio of neighbouring levels, hash functions, bits of the filters, parts they are built in.
-BASE, HASHES, LOG_UNIGRAM_BITS, LOG_BIGRAM_BITS, LOG_PARTS = 1.5, 3, 27, 28, 8
+#: Ratio of neighbouring levels, hash functions, parts that filters are built in at least.
+BASE, HASHES, LOG_PARTS = 1.5, 3, 8
+#: Part of a filter's bits that its keys set at most, least bits of a part, bits of the slice that a worker holds.
+FILL, LOG_LEAST, LOG_SLICE = 1 / 3, 14, 28
 #: Bigrams seen less often are not stored; most words in the head.
 LEAST_BIGRAM, HEAD = 2, 300_000
 #: What a counting worker holds before it passes it on: words, bigrams.
@@ -32,7 +37,6 @@ HELD_WORDS, HELD_BIGRAMS = 300_000, 3_000_000
 #: Words that a scoring worker remembers.
 REMEMBERED = 300_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_LOW = np.uint64((1 << (64 - LOG_PARTS)) - 1)
 
 
 def level(count: np.ndarray) -> np.ndarray:
@@ -52,9 +56,10 @@ def _means() -> np.ndarray:
 MEANS = _means()
 
 
-def level_keys(keys: np.ndarray, q: int) -> np.ndarray:
+def level_keys(keys: np.ndarray, q: int, log_parts: int = LOG_PARTS) -> np.ndarray:
     """What is stored for these n-grams at a level; the top bits, which name the part, stay."""
-    return (keys & ~_LOW) | (mix(keys + np.uint64(q * int(_MIX) % (1 << 64))) & _LOW)
+    low = np.uint64((1 << (64 - log_parts)) - 1)
+    return (keys & ~low) | (mix(keys + np.uint64(q * int(_MIX) % (1 << 64))) & low)
 
 
 def probe(bloom: Bloom, keys: np.ndarray) -> np.ndarray:
@@ -63,16 +68,82 @@ def probe(bloom: Bloom, keys: np.ndarray) -> np.ndarray:
     at = np.arange(len(keys))
     q = 1
     while len(at) and q < len(MEANS):
-        at = at[bloom.has(level_keys(keys[at], q))]
+        at = at[bloom.has(level_keys(keys[at], q, bloom.log_parts))]
         out[at] = q
         q += 1
     return out
 
 
-def _expand(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def _expand(keys: np.ndarray, counts: np.ndarray, log_parts: int = LOG_PARTS) -> np.ndarray:
     """All level keys of n-grams with these counts."""
     top = level(counts)
-    return np.concatenate([level_keys(keys[top >= q], q) for q in range(1, int(top.max()) + 1)]) if len(keys) else keys
+    return np.concatenate([level_keys(keys[top >= q], q, log_parts) for q in range(1, int(top.max()) + 1)]) if len(keys) else keys
+
+
+def log_width(keys: int, least: int) -> int:
+    """Bits of a part, as a power of two, of which so many keys set FILL at most."""
+    return max(least, int(np.ceil(np.log2(max(1, keys) * HASHES / -np.log(1 - FILL)))))
+
+
+@dataclass(frozen=True)
+class Sliced:
+    """A filter as slices of equal key ranges, 2**LOG_SLICE bits each at most unless a part is larger."""
+
+    slices: list[Broadcast]
+    log_bits: int
+    log_parts: int
+    fill: float  # part of all bits that is set
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Levels of n-grams; a slice is read where it is needed and not kept, unless it is the only one."""
+        cut = len(self.slices).bit_length() - 1
+        if not cut:
+            return probe(Bloom(self.slices[0].value, self.log_bits, self.log_parts, HASHES), keys)
+        out = np.zeros(len(keys), np.int64)
+        slices = (keys >> np.uint64(64 - cut)).astype(np.int64)
+        order = np.argsort(slices, kind="stable")
+        ends = np.searchsorted(slices[order], np.arange(len(self.slices) + 1))
+        for k, shared in enumerate(self.slices):
+            at = order[ends[k] : ends[k + 1]]
+            if len(at):
+                bits = shared.value
+                if getattr(shared, "_path", None):  # it can be read from there again
+                    shared.__dict__.pop("_value", None)
+                out[at] = probe(_Slice(bits, self.log_bits, self.log_parts, HASHES, k, cut), keys[at])
+        return out
+
+
+class _Slice(Bloom):
+    """The part of a filter whose keys have these top bits."""
+
+    def __init__(self, bits: np.ndarray, log_bits: int, log_parts: int, hashes: int, number: int, cut: int):
+        super().__init__(bits, log_bits, log_parts, hashes)
+        self.first = np.uint64((number << log_bits) >> cut)
+
+    def offset(self, base: np.ndarray) -> np.ndarray:
+        return base - self.first
+
+
+def slice_filter(parts: DataFrame, log_parts: int, keys: int) -> Sliced:
+    """Settled rows (part, width, bits) as a filter, one slice after the other through the driver.
+
+    The width comes from all keys; parts come wider, as a part alone does not know
+    it, and are folded.
+    """
+    context = parts.sparkSession.sparkContext
+    width = log_width(keys >> log_parts, LOG_LEAST)
+    width = min(width, parts.agg(F.min("width")).first()[0] or width)
+    log_bits = width + log_parts
+    cut = min(log_parts, max(0, log_bits - LOG_SLICE))
+    held, step, ones, slices = 1 << (log_parts - cut), 1 << (width - 3), 0, []
+    for k in range(1 << cut):
+        bits = np.zeros(held * step, np.uint8)
+        for row in parts.where(F.col("part").between(k * held, (k + 1) * held - 1)).toLocalIterator():
+            at = (row["part"] - k * held) * step
+            bits[at : at + step] = np.bitwise_or.reduce(np.frombuffer(row["bits"], np.uint8).reshape(-1, step), axis=0)
+        ones += int(np.bitwise_count(bits).sum(dtype=np.int64))
+        slices.append(context.broadcast(bits))
+    return Sliced(slices, log_bits, log_parts, ones / (1 << log_bits))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -126,7 +197,7 @@ def count_words(train: DataFrame, text_col: str) -> DataFrame:
     return settle(train.select(text_col).mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c")))
 
 
-def bigram_filter(train: DataFrame, text_col: str, tokens: int) -> tuple[Bloom, float]:
+def bigram_filter(train: DataFrame, text_col: str, tokens: int) -> tuple[Sliced, float]:
     """The filter of all bigrams seen LEAST_BIGRAM times or more in the training text, and their weight.
 
     The weight is the part of all training tokens that end a stored bigram, less
@@ -137,7 +208,7 @@ def bigram_filter(train: DataFrame, text_col: str, tokens: int) -> tuple[Bloom,
     distinct bigram; the ranges grow in number with the tokens.
     """
     log_ranges = LOG_PARTS + max(0, int(np.ceil(np.log2(max(1, tokens) / (1 << 28)))))
-    low = np.uint64(64 - log_ranges)
+    low, least = np.uint64(64 - log_ranges), LOG_LEAST
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -166,11 +237,9 @@ def bigram_filter(train: DataFrame, text_col: str, tokens: int) -> tuple[Bloom,
         yield flush()
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[int, np.ndarray] = {}
-        range_, keys, counts, mass = None, [], [], 0
+        range_, keys, counts = None, [], []
 
-        def close() -> None:
-            nonlocal mass
+        def close() -> Iterator[pa.RecordBatch]:
             if not keys:
                 return
             k, c = np.concatenate(keys), np.concatenate(counts)
@@ -179,13 +248,17 @@ def bigram_filter(train: DataFrame, text_col: str, tokens: int) -> tuple[Bloom,
             starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
             k, c = k[starts], np.add.reduceat(c, starts)
             often = c >= LEAST_BIGRAM
-            mass += int((c[often] - 1).sum())
-            put_keys(parts, _expand(k[often], c[often]), LOG_BIGRAM_BITS - LOG_PARTS, LOG_PARTS, HASHES)
+            expanded, bits = _expand(k[often], c[often], log_ranges), {}
+            width = log_width(len(expanded), least) + 1
+            put_keys(bits, expanded, width, log_ranges, HASHES)
+            for part, blob in bits.items():
+                columns = [[part], [width], [blob.tobytes()], [int((c[often] - 1).sum())], [len(expanded)]]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["part", "width", "bits", "mass", "n"])
 
         for batch in batches:
             for r, blob, more in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if r != range_:
-                    close()
+                    yield from close()
                     range_, keys, counts = r, [], []
                 packed = np.zeros((len(blob) // 5, 8), np.uint8)
                 packed[:, :5] = np.frombuffer(blob, np.uint8).reshape(-1, 5)
@@ -194,20 +267,12 @@ def bigram_filter(train: DataFrame, text_col: str, tokens: int) -> tuple[Bloom,
                 at, many = np.frombuffer(more, np.int32).reshape(2, -1)
                 n[at] = many
                 counts.append(n)
-        close()
-        for part, bits in parts.items():
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([bits.tobytes()], pa.binary()), pa.array([0], pa.int64())], names=["part", "bits", "mass"])
-        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([b""], pa.binary()), pa.array([mass], pa.int64())], names=["part", "bits", "mass"])
+        yield from close()
 
     counted = train.select(text_col).mapInArrow(count, "r long, keys binary, more binary")
-    built = counted.repartition("r").sortWithinPartitions("r").mapInArrow(put, "part int, bits binary, mass long")
-    step, mass = 1 << (LOG_BIGRAM_BITS - LOG_PARTS - 3), 0
-    bits = np.zeros(1 << (LOG_BIGRAM_BITS - 3), np.uint8)
-    for row in built.toLocalIterator():
-        mass += row["mass"]
-        if row["part"] >= 0:  # parts whose ranges several tasks held are united
-            bits[row["part"] * step : (row["part"] + 1) * step] |= np.frombuffer(row["bits"], np.uint8)
-    return Bloom(bits, LOG_BIGRAM_BITS, LOG_PARTS, HASHES), min(0.9, mass / max(1, tokens))
+    built = settle(counted.repartition("r").sortWithinPartitions("r").mapInArrow(put, "part long, width int, bits binary, mass long, n long"))
+    mass, stored = built.agg(F.coalesce(F.sum("mass"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return slice_filter(built, log_ranges, stored), min(0.9, mass / max(1, tokens))
 
 
 def truncated(keys: np.ndarray, tokens: int) -> np.ndarray:
@@ -216,15 +281,27 @@ def truncated(keys: np.ndarray, tokens: int) -> np.ndarray:
     return (keys >> spare) << spare
 
 
-def unigram_filter(vocabulary: DataFrame, end_count: int) -> Bloom:
+def unigram_filter(vocabulary: DataFrame, end_count: int) -> Sliced:
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(mix(token_hashes(batch.column(0).to_pylist())).view(np.int64)), batch.column(1)], names=["h", "c"])
 
     ends = vocabulary.sparkSession.createDataFrame([(bytearray(END), end_count), (bytearray(START), end_count)], "token binary, c long").where("c > 0")
-    keys = vocabulary.unionByName(ends).mapInArrow(hashed, "h long, c long")
-    columns = lambda b: (b.column(0).to_numpy(zero_copy_only=False).view(np.uint64), b.column(1).to_numpy(zero_copy_only=False))
-    return build_bloom(keys, LOG_UNIGRAM_BITS, HASHES, lambda batch: _expand(*columns(batch)), LOG_PARTS)
+    words = vocabulary.unionByName(ends)
+    levels = words.agg(F.sum(1 + F.floor(F.log(F.col("c")) / float(np.log(BASE)) + 1e-9))).first()[0] or 0
+    width = log_width(int(levels) >> LOG_PARTS, LOG_LEAST)
+    keys = words.mapInArrow(hashed, "h long, c long")
+    dealt = keys.withColumn("_part", F.shiftrightunsigned("h", 64 - LOG_PARTS).cast("int")).repartition("_part")
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            h, c = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            put_keys(held, _expand(h.view(np.uint64), c), width, LOG_PARTS, HASHES)
+        for part, bits in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([width], pa.int32()), pa.array([bits.tobytes()], pa.binary())], names=["part", "width", "bits"])
+
+    return slice_filter(settle(dealt.mapInArrow(put, "part long, width int, bits binary")), LOG_PARTS, int(levels))
 
 
 def _head(vocabulary: DataFrame) -> dict[bytes, int]:
@@ -244,7 +321,7 @@ def _head(vocabulary: DataFrame) -> dict[bytes, int]:
 class _Words(dict):
     """Numbers of words; what a scoring worker knows of a word lies in arrays by number, the end and start at 0 and 1."""
 
-    def __init__(self, head: dict[bytes, int], unigrams: Bloom):
+    def __init__(self, head: dict[bytes, int], unigrams: Sliced):
         super().__init__()
         self.head, self.unigrams = head, unigrams
         self.forget()
@@ -267,7 +344,7 @@ class _Words(dict):
             h = np.fromiter(map(xxhash.xxh3_64_intdigest, self.fresh), np.uint64, len(self.fresh))
             self.hashes = np.concatenate([self.hashes, h])
             self.counts = np.concatenate([self.counts, np.array([self.head.get(w, 0) for w in self.fresh], np.int64)])
-            self.means = np.concatenate([self.means, MEANS[probe(self.unigrams, mix(h))]])
+            self.means = np.concatenate([self.means, MEANS[self.unigrams.levels(mix(h))]])
             self.known += len(self.fresh)
             self.fresh = []
         return out
@@ -290,13 +367,14 @@ def lm_score(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
     words, kinds = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     tokens, kinds = words + ends, kinds + (ends > 0)
     below = tokens + 0.5 * (kinds + 1)
-    shared = context.broadcast((_head(vocabulary), unigram_filter(vocabulary, ends), bigram_filter(train, text_col, tokens)))  # fixed sizes
+    shared = context.broadcast(_head(vocabulary))
+    unigrams, (bigrams, weight) = unigram_filter(vocabulary, ends), bigram_filter(train, text_col, tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, unigrams, (bigrams, weight) = shared.value
-        known_words = _Words(head, unigrams)
+        known_words = _Words(shared.value, unigrams)
         for batch in batches:
             texts = batch.column(2).to_pylist()
+            waiting, columns = [], []  # bigrams of the whole batch are probed together, so that a slice is read once for them
             for part in chunks(texts):
                 if len(known_words) > REMEMBERED:
                     known_words.forget()
@@ -315,16 +393,21 @@ def lm_score(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
                 now, before, at = _with_ends(number, n, 0, 1)
                 c_now, c_before = known_words.means[now], known_words.means[before]
                 keys = bigram_keys(known_words.hashes[before], known_words.hashes[now])
-                pair = MEANS[probe(bigrams, truncated(keys, tokens))]
-                pair = np.minimum(pair, np.minimum(c_now, c_before))
-                chance = weight * pair / np.maximum(c_before, 1) + (1 - weight) * (c_now + 0.5) / below
-                score = np.bincount(at, np.log10(chance), size)
+                waiting.append((truncated(keys, tokens), c_now.astype(np.float32), c_before.astype(np.float32), at.astype(np.int32)))
                 offsets = np.cumsum([0, *map(len, tails)]).astype(np.int32)
                 values = pa.StructArray.from_arrays(
                     [pa.array([w for t in tails for w in t], pa.binary()), pa.array([x for t in tails for x in t.values()], pa.int64())], names=["token", "tf"]
                 )
+                columns.append((part, pa.array(n + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.ListArray.from_arrays(pa.array(offsets), values)))
+            levels = bigrams.levels(np.concatenate([w[0] for w in waiting])) if waiting else np.zeros(0, np.int64)
+            ends_at = np.cumsum([len(w[0]) for w in waiting])
+            for (part, n, known, base, tail), (keys, c_now, c_before, at), end in zip(columns, waiting, ends_at, strict=True):
+                c_now, c_before = c_now.astype(np.float64), c_before.astype(np.float64)
+                pair = np.minimum(MEANS[levels[end - len(keys) : end]], np.minimum(c_now, c_before))
+                chance = weight * pair / np.maximum(c_before, 1) + (1 - weight) * (c_now + 0.5) / below
+                score = np.bincount(at, np.log10(chance), len(n))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[part], batch.column(1)[part], pa.array(n + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(score), pa.ListArray.from_arrays(pa.array(offsets), values)],
+                    [batch.column(0)[part], batch.column(1)[part], n, known, base, pa.array(score), tail],
                     names=["doc_id", "held_out", "n_tokens", "known", "base", "score", "tail"],
                 )
 
