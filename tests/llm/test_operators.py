@@ -164,6 +164,23 @@ def test_lm_filters_grow_with_their_keys_and_are_scored_slice_by_slice(spark, mo
     assert lm_score.log_width(1_200_000_000 >> 13, 14) + 13 >= 33  # bigram keys expected at 30 GB, in 2**13 ranges
 
 
+def test_lm_scores_know_bigrams_seen_once(spark):
+    words = [f"w{k}" for k in range(40)]
+    held = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 5 == 1)
+    train = [k for k in range(100) if zlib.crc32(str(k).encode()) % 5 != 1][:30]
+    rows = [(k, " ".join(random.Random(k).sample(words, 40)), "s", None) for k in train] + [(held, None, "s", None)]
+    once = random.Random(train[0]).sample(words, 40)
+    seen = collections.Counter(p for _, t, *_ in rows if t for p in zip(t.split(), t.split()[1:], strict=False))
+    a, b = next(p for p in zip(once, once[1:], strict=False) if seen[p] == 1)
+    never = next(w for w in words if (a, w) not in seen and w != a)
+    bloom, weight = lm_score.bigram_filter(spark.createDataFrame(rows, SCHEMA), "text", 31 * 41)
+    from tracewright.llm.hashing import token_hashes
+
+    h = token_hashes([x.encode() for x in (a, b, never)])
+    keys = lm_score.truncated(lm_score.bigram_keys(h[:1].repeat(2), h[1:]), 31 * 41)
+    assert bloom.levels(keys).tolist() == [1, 0] and 0 < weight <= 0.9
+
+
 def test_mixing_equals_its_sql_and_meets_its_targets(spark, docs, empty):
     names = ["doc_id", "size", "source_size", "target", "taken", "position", "position_again"]
     got = curriculum_mix.mix(docs)

@@ -30,8 +30,8 @@ END, START = b" end", b" start"
 BASE, HASHES, LOG_PARTS = 1.5, 3, 8
 #: Part of a filter's bits that its keys set at most, least bits of a part, bits of the slice that a worker holds.
 FILL, LOG_LEAST, LOG_SLICE = 1 / 3, 14, 28
-#: Bigrams seen less often are not stored; most words in the head.
-LEAST_BIGRAM, HEAD = 2, 300_000
+#: Bigrams seen less often are not stored: none; most words in the head.
+LEAST_BIGRAM, HEAD = 1, 300_000
 #: What a counting worker holds before it passes it on: words, bigrams.
 HELD_WORDS, HELD_BIGRAMS = 300_000, 3_000_000
 #: Words that a scoring worker remembers.
