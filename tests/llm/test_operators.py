@@ -223,6 +223,15 @@ def test_decontamination_finds_copies_and_paraphrases(spark, empty):
     assert decontaminate.leaks(empty, benchmark).count() == 0 and decontaminate.leaks(df, benchmark.limit(0)).count() == 0
 
 
+def test_items_that_a_third_of_all_rows_copy_are_found(spark):
+    wide = ["".join(random.choices("klmnopqrst", k=6)) for _ in range(4000)]
+    item = text(40, wide) + ". " + text(12, wide) + "."
+    copy = text(90, wide) + " " + item + " " + text(90, wide)
+    rows = [(k, copy, "s", None) for k in range(40)] + [(100, text(60, wide) + " " + item + " " + text(60, wide), "s", None)] + [(200 + k, text(200, wide), "s", None) for k in range(79)]
+    got = decontaminate.leaks(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(1, item), (2, text(50, wide))], "item_id long, text string"))
+    assert sorted((r["doc_id"], r["item_id"]) for r in got.collect()) == [(k, 1) for k in range(40)] + [(100, 1)]
+
+
 def test_randomised_svd_equals_the_exact_one(spark):
     from tracewright.llm.hashing import token_hashes
 

@@ -3,8 +3,9 @@
 Benchmark items, cut into passages, span a latent space: the right singular
 vectors of their TF-IDF matrix, by randomised SVD with the matrix products done
 on the executors.  Windows of every document are folded in and compared with all
-passages by cosine; candidates must then share a long common subsequence of words
-with the item, its answer included.  IDF counts every document.  Items are the
+passages by cosine; so are windows that hold a run of an item's words, however
+common.  Candidates must then share a long common subsequence of words with the
+item, its answer included.  IDF counts every document.  Items are the
 stated query set, taken in blocks; documents are never shuffled.
 """
 
@@ -24,14 +25,17 @@ from .hashing import chunks, mix, plain_hashes
 
 #: Words of a passage and of half a window, latent dimensions, extra columns and rounds of the randomised SVD.
 PASSAGE, STRIDE, RANK, OVERSAMPLE, ROUNDS, SEED = 48, 24, 320, 16, 2, 7
-#: Cells of the document-frequency sketch, parts it is summed in; words in more than this part of documents weigh nothing.
+#: Cells of the document-frequency sketch, parts it is summed in; words in more than this part of documents weigh least.
 LOG_CELLS, LOG_PARTS, MAX_DF = 18, 9, 0.2
-#: Weight of a word at most, so that the rare words around a leak don't hide it.
-IDF_CAP = 4.0
+#: Weight of a word at least, so that no item is without weight, and at most, so that the rare words around a leak don't hide it.
+IDF_LEAST, IDF_CAP = 0.1, 4.0
 #: Least cosine of a candidate; least part of an item, and of its answer, in common order; part that needs no answer.
 COSINE, COMMON, ANSWER, ENOUGH = 0.35, 0.6, 0.5, 0.8
 #: Items taken at once, so few that RANK keeps nearly all that sets them apart; items of fewer words must appear whole and unbroken.
 BLOCK, SHORT = 250, 8
+#: Bits of the table that most runs of words are ruled out by.
+LOG_RUNS = 20
+_RUN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
@@ -75,7 +79,16 @@ def _cells(tokens: np.ndarray) -> np.ndarray:
 
 def idf_table(frequencies: np.ndarray, documents: int) -> np.ndarray:
     weight = np.log((documents + 1) / (frequencies + 1.0))
-    return np.where(frequencies > max(1.0, MAX_DF * documents), 0.0, np.clip(weight, 0.1, IDF_CAP)).astype(np.float32)
+    return np.where(frequencies > max(1.0, MAX_DF * documents), IDF_LEAST, np.clip(weight, IDF_LEAST, IDF_CAP)).astype(np.float32)
+
+
+def _runs(tokens: np.ndarray, length: int) -> np.ndarray:
+    """A hash of the run of so many words that begins at each word, where one can."""
+    count = max(0, len(tokens) - length + 1)
+    out = np.zeros(count, np.uint64)
+    for k in range(length):
+        out = out * _RUN + tokens[k : k + count]
+    return out
 
 
 def _gaussian(tokens: np.ndarray, columns: int) -> np.ndarray:
@@ -173,6 +186,20 @@ class Index:
     owner: np.ndarray  # item of each passage
     items: list[tuple[int, list[int], list[int]]]  # id, words, words of the answer
     sorted_words: list[np.ndarray]  # of each item
+    runs: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]  # by length: table of the hashes' top bits, hashes in order, item of each
+
+    def shared_runs(self, tokens: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and items of the runs of SHORT words, or of whole shorter items, that texts share with items."""
+        places, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for length, table, hashes, items in self.runs:
+            h = _runs(tokens, length)
+            at = np.flatnonzero(table[h >> np.uint64(64 - LOG_RUNS)])
+            at = at[doc[at] == doc[at + length - 1]]
+            first, last = (np.searchsorted(hashes, h[at], side) for side in ("left", "right"))
+            n = last - first
+            places.append(np.repeat(at, n))
+            owners.append(items[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())])
+        return np.concatenate(places), np.concatenate(owners)
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, float, float, float]]:
         """(text, item, cosine, common part, common part of the answer) of every leak."""
@@ -197,6 +224,9 @@ class Index:
         all2, most = all2[:-1] + np.where(two, all2[1:], 0), most[:-1] + np.where(two, most[1:], 0)
         # no passage gains more from a window than the most that any gains from each word: the bound loses no candidate
         hopeful = np.flatnonzero((most > 0) & (most >= COSINE * np.sqrt(all2)))
+        places, owners = self.shared_runs(tokens, doc)
+        run_pieces, run_items = np.divmod(np.unique(piece[places] * len(self.items) + owners), len(self.items))
+        hopeful = np.union1d(hopeful, run_pieces)
         if len(hopeful):
             need = np.zeros(total + 1, bool)
             need[hopeful] = True
@@ -212,7 +242,9 @@ class Index:
             pairs = np.flatnonzero(two[hopeful])
             cosine[pairs] += sums[row[hopeful[pairs] + 1]]
             cosine /= np.sqrt(all2[hopeful]).astype(np.float32)[:, None]
-            for i, j in zip(*np.nonzero(cosine >= COSINE), strict=True):
+            rows, passages = np.nonzero(cosine >= COSINE)
+            seeds = [(i, k + int(cosine[i, k:end].argmax())) for i, k, end in zip(np.searchsorted(hopeful, run_pieces), *(np.searchsorted(self.owner, run_items, side) for side in ("left", "right")), strict=True)]
+            for i, j in [*zip(rows, passages, strict=True), *(x for x in seeds if cosine[x] < COSINE)]:
                 d, item = int(of[hopeful[i]]), int(self.owner[j])
                 if (d, item) in out and out[d, item][1] == 1.0:
                     out[d, item] = max(out[d, item][0], float(cosine[i, j])), *out[d, item][1:]
@@ -267,7 +299,15 @@ def build_index(spark: SparkSession, items: list[tuple[int, str, str | None]], i
     # folding a window in is linear, so its words' products with the unit passages can be added up instead
     gains = (vectors * idf[_cells(vocabulary)][:, None]) @ (latent / np.maximum(norms, 1e-9)).T
     most = gains.max(axis=1, initial=0).clip(0).astype(np.float64)
-    return Index(idf, vocabulary, np.ascontiguousarray(gains, np.float32), most, np.array(owner, np.int64), known, [np.array(sorted({*words, *last}), np.uint64) for _, words, last in known])
+    runs = []
+    for length in sorted({min(SHORT, len(words)) for _, words, _ in known}):
+        own = [(k, _runs(np.array(words, np.uint64), length)) for k, (_, words, _) in enumerate(known) if min(SHORT, len(words)) == length]
+        hashes, items_of = np.concatenate([h for _, h in own]), np.concatenate([np.full(len(h), k) for k, h in own])
+        order = np.argsort(hashes, kind="stable")
+        table = np.zeros(1 << LOG_RUNS, bool)
+        table[hashes >> np.uint64(64 - LOG_RUNS)] = True
+        runs.append((length, table, hashes[order], items_of[order]))
+    return Index(idf, vocabulary, np.ascontiguousarray(gains, np.float32), most, np.array(owner, np.int64), known, [np.array(sorted({*words, *last}), np.uint64) for _, words, last in known], runs)
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, answer_col: str | None) -> Iterator[list[tuple[int, str, str | None]]]:
