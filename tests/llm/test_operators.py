@@ -232,6 +232,18 @@ def test_items_that_a_third_of_all_rows_copy_are_found(spark):
     assert sorted((r["doc_id"], r["item_id"]) for r in got.collect()) == [(k, 1) for k in range(40)] + [(100, 1)]
 
 
+def test_candidates_reach_down_to_a_low_cosine(spark):
+    names = [w.encode() for w in ("".join(random.choices("uvwxyz", k=7)) for _ in range(400))]
+    idf = np.full(1 << decontaminate.LOG_CELLS, 2.0, np.float32)
+    item = b" ".join(names[:48]).decode()
+    index = decontaminate.build_index(spark, [(1, item, None)], idf)
+    window = [names[k] if k % 3 == 0 else names[100 + k] for k in range(48)]  # cosine 1 / 3
+    low = index.search([b" ".join(window).decode()])
+    assert low == []  # a third in common is no leak
+    spread = [w for k in range(48) if k % 4 for w in (names[k], names[200 + k], names[250 + k])]  # 36 of 48 words, one in three: cosine 1 / 3 at most
+    assert [(d, k) for d, k, *_ in index.search([b" ".join(spread).decode()])] == [(0, 1)]
+
+
 def test_randomised_svd_equals_the_exact_one(spark):
     from tracewright.llm.hashing import token_hashes
 
