@@ -310,6 +310,13 @@ def test_jaccard_join_by_brute_force(spark, docs, empty):
     assert len([d for d in ids if d is not None]) == len({(d, c) for d, n, c in brute_components(rows) if d is not None and (d == c)})
 
 
+def test_a_single_short_text_has_one_shingle(spark):
+    for t in ("one", "one two", "one two three", "one two three four"):
+        assert len(jaccard_join.shingle_sets([t])[0]) == 1
+    df = spark.createDataFrame([(1, "one two", "s", None), (2, "one two three", "s", None)], SCHEMA).repartition(2, "doc_id")
+    assert sorted((r["doc_id"], r["n_shingles"]) for r in jaccard_join.jaccard_join(df).collect()) == [(1, 1), (2, 1)]
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 20)] + [(300, 301)]
     got = dict(map(tuple, jaccard_join.components(spark.createDataFrame(links, "a long, b long")).collect()))

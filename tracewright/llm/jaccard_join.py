@@ -51,7 +51,7 @@ def shingle_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     start = np.cumsum(n) - n
     h = np.zeros(len(tokens), np.uint64)
     for k in range(WORDS):
-        h[: len(tokens) - k] += tokens[k:] * _COEFFICIENTS[k]
+        h[: max(0, len(tokens) - k)] += tokens[k:] * _COEFFICIENTS[k]
     keep = np.ones(len(tokens), bool)
     for k in range(1, WORDS):
         keep[(start + n - k)[n >= k]] = False  # a shingle would run out of its text
