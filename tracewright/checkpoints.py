@@ -2,18 +2,34 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def checkpoint_folder(spark: SparkSession) -> None:
+    """Make sure that settled rows have a folder: the one of spark.checkpoint.dir.
+
+    Where that is unset, a local session gets one below its temporary folder; on a
+    cluster that would be a machine's own, so there the setting must be made.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is not None:
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = f"{tempfile.gettempdir()}/tracewright-{uuid.uuid4().hex}"
+    context.setCheckpointDir(folder)
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """Rows written once to the shared folder of spark.checkpoint.dir (one below the temporary folder where it is unset)."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/tracewright-{uuid.uuid4().hex}")
+    """The rows written once to the shared folder, so that later stages neither recompute nor lose them."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
