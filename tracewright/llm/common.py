@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..checkpoints import checkpoint_folder, settle
+
+__all__ = ["BATCH_BYTES", "BATCH_ROWS", "SPACE", "let", "settle", "shared_folder", "small", "small_batches", "table", "words"]
+
 #: ASCII white space, the separators of words: space and U+0009 to U+000D.
 SPACE = r"[\x20\x09-\x0D]+"
 _SPACE_SQL = "concat(' ', char(9), char(10), char(11), char(12), char(13))"
@@ -36,33 +39,16 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """The rows written once to the shared folder, so that later stages neither recompute nor lose them.
-
-    The folder is the one the session names in spark.checkpoint.dir; where none
-    is set, as in tests, one under the system's temporary folder is.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        import tempfile
+#: Rows of ids or keys that may be broadcast: some 130 bytes each in a hash table, 33 MB together.
+BROADCAST_ROWS = 250_000
 
-        local = f"{tempfile.gettempdir()}/tracewright-checkpoints-{uuid.uuid4().hex}"
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or local)
-    return df.checkpoint(eager=True)
 
-
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffles and settled rows that nothing refers to any more, ahead of its own periodic cleaning."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it is counted and has BROADCAST_ROWS at most, else itself; settle it first."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder path below the checkpoint folder, as a URI that all executors reach."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        import tempfile
-
-        local = f"{tempfile.gettempdir()}/tracewright-checkpoints-{uuid.uuid4().hex}"
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or local)
-    return f"{context.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    checkpoint_folder(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -6,26 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Hashes of words that a worker remembers.
-REMEMBERED = 400_000
-#: What plain words are split from: capitals become small, ASCII signs become spaces.
-_PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c > 126 or chr(c).isalnum() else 32 for c in range(256))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-
-
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_hashes = _Hashes()
+#: What plain words are split from: capitals become small, ASCII signs become spaces.
+PLAIN = np.array([c + 32 if 65 <= c <= 90 else c if c > 126 or chr(c).isalnum() else 32 for c in range(256)], np.uint8)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -35,50 +22,101 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def token_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-
-
-def flat_tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _M2)
+_PLACES = mix(np.arange(1, 4097, dtype=np.uint64) * _M1) | np.uint64(1)
+
+
+def token_hashes(words: pa.Array | list[bytes]) -> np.ndarray:
+    """A 64-bit hash of each word: its bytes' numbers times its places' numbers, summed and scrambled."""
+    words = words if isinstance(words, pa.Array) else pa.array(words, pa.binary())
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    wide = np.int64 if pa.types.is_large_binary(words.type) or pa.types.is_large_string(words.type) else np.int32
+    _, at, data = words.buffers()
+    at = np.frombuffer(at, wide)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.zeros(0, np.uint8)
+    at = at - at[0]
+    n = np.diff(at)
+    place = np.arange(len(data)) - np.repeat(at[:-1], n)
+    if len(place) and int(n.max()) > len(_PLACES):
+        factor = mix((place + 1).astype(np.uint64) * _M1) | np.uint64(1)
+    else:
+        factor = _PLACES[place]
+    out = np.zeros(len(words), np.uint64)
+    some = np.flatnonzero(n)
+    if len(some):
+        out[some] = np.add.reduceat(_BYTES[data] * factor, at[some])
+    return mix(out + n.astype(np.uint64))
+
+
+def as_texts(texts: pa.Array | list[str | None]) -> pa.Array:
+    """Texts as an Arrow array; lists come from small callers only."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    if not isinstance(texts, pa.Array):
+        texts = pa.array([None if t is None else t.encode("utf-8", "surrogatepass") for t in texts], pa.binary())
+    return texts.view(pa.string()) if texts.type == pa.binary() else texts.cast(pa.string()) if texts.type == pa.null() else texts
+
+
+def _translated(texts: pa.Array, table: np.ndarray) -> pa.Array:
+    """The texts with each byte replaced, none of them null."""
+    texts = pc.fill_null(texts, "")
+    wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, at, data = texts.buffers()
+    at = np.frombuffer(at, wide)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, wide)
+    data = table[np.frombuffer(data, np.uint8)[at[0] : at[-1]]] if data is not None else np.zeros(0, np.uint8)
+    return pa.Array.from_buffers(texts.type, len(texts), [None, pa.py_buffer(np.ascontiguousarray(at - at[0])), pa.py_buffer(data)])
+
+
+def split_words(texts: pa.Array | list[str | None], table: np.ndarray | None = None, lower: bool = True) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Words [^\\x20\\x09-\\x0D]+ of all texts end to end, as places among the distinct words; those; words of each text.
+
+    lower: A-Z first become a-z.  table: every byte is replaced by this table's first.
+    """
+    texts = as_texts(texts)
+    if table is not None:
+        texts = _translated(texts, table)
+    elif lower:
+        texts = pc.ascii_lower(texts)
+    texts = pc.ascii_trim_whitespace(texts)
+    texts = pc.if_else(pc.greater(pc.binary_length(texts), 0), texts, pa.scalar(None, texts.type))
+    lists = pc.ascii_split_whitespace(texts)
+    n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten().dictionary_encode()
+    return flat.indices.to_numpy(zero_copy_only=False), flat.dictionary, n
+
+
+def flat_tokens(texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words [^\\x20\\x09-\\x0D]+ of all texts, A-Z lowered, end to end; words of each text."""
-    flat: list[bytes] = []
-    lengths = np.zeros(len(texts), np.int64)
-    for k, text in enumerate(texts):
-        if text:
-            words = text.encode("utf-8", "surrogatepass").lower().split()
-            flat += words
-            lengths[k] = len(words)
-    return token_hashes(flat), lengths
+    at, words, n = split_words(texts)
+    return token_hashes(words)[at], n
 
 
-def plain_hashes(texts: list[str | None], distinct: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def plain_hashes(texts: pa.Array | list[str | None], distinct: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """As flat_tokens, of words split at signs too; distinct: each word of a text once, in any order."""
-    flat: list[bytes] = []
-    lengths = np.zeros(len(texts), np.int64)
-    for k, text in enumerate(texts):
-        if text:
-            words = text.encode("utf-8", "surrogatepass").translate(_PLAIN).split()
-            if distinct:
-                words = set(words)
-            flat += words
-            lengths[k] = len(words)
-    return token_hashes(flat), lengths
+    at, words, n = split_words(texts, PLAIN)
+    h = token_hashes(words)
+    if distinct and len(at):
+        key = np.repeat(np.arange(len(n)), n) * len(words) + at
+        key.sort()
+        doc, at = np.divmod(key[np.r_[True, key[1:] != key[:-1]]], len(words))
+        n = np.bincount(doc, minlength=len(n))
+    return h[at], n
 
 
 #: Texts that are worked on at once.
 CHUNK_ROWS = 2000
 
 
-def chunks(texts: list, size: int = 1 << 21) -> Iterator[slice]:
-    """Slices of a list of texts with about so many characters each, CHUNK_ROWS texts at most."""
-    start, total = 0, 0
-    for k, text in enumerate(texts):
-        total += len(text or "")
-        if total >= size or k + 1 - start >= CHUNK_ROWS:
-            yield slice(start, k + 1)
-            start, total = k + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+def chunks(texts: pa.Array, size: int = 1 << 21) -> Iterator[slice]:
+    """Slices of texts with about so many bytes each, CHUNK_ROWS texts at most."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(total):
+        full = int(np.searchsorted(total, (total[start - 1] if start else 0) + size, "left")) + 1
+        end = min(full, start + CHUNK_ROWS, len(total))
+        yield slice(start, end)
+        start = end
 
 
 class Bloom:
@@ -133,7 +171,7 @@ def collect_bloom(parts: DataFrame, log_bits: int, log_parts: int, hashes: int)
     """The filter from rows (part, bits); rows of the same part are united."""
     step = 1 << (log_bits - log_parts - 3)
     bits = np.zeros(1 << (log_bits - 3), np.uint8)
-    for row in parts.toLocalIterator():
+    for row in parts.collect():  # 2**log_bits bits together
         bits[row["part"] * step : (row["part"] + 1) * step] |= np.frombuffer(row["bits"], np.uint8)
     return Bloom(bits, log_bits, log_parts, hashes)
 

@@ -2,13 +2,16 @@
 
 Texts with the same shingle set are one entity from the start, so copies cost
 one row each and never pairs.  Entities post the rarest part of their set, the
-prefix; two sets similar enough share a posted shingle.  Postings of a shingle
-pass length, positional and (on the shared prefix) suffix filters, pairs are
-verified once on the whole texts, and components grow from the verified links.
-First each entity meets its shingle's hub and neighbour; only entities that are
-still in different components then meet pair by pair, so a large group of near
-copies costs links in proportion to its size, and no link between different
-components is lost.
+prefix; two sets similar enough share a posted shingle.  Postings travel packed,
+a blob for each task and hash range, and meet in arrays.  Pairs of a shingle's
+postings pass length and positional filters, then a suffix filter on prints of
+their sets; what is left is verified once on the whole texts, and components grow
+from the verified links.  In a group of up to three entities every pair is tried
+at once; in a larger one each entity first meets the least and the largest, and
+only postings of groups that still span several components meet further: first
+one pair a posting, then all that the filters let through, large groups cut into
+blocks that meet block by block.  So a large group of near copies costs links in
+proportion to its size, and no link between different components is lost.
 """
 
 from __future__ import annotations
@@ -20,19 +23,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import release, settle, small_batches, table
+from .common import settle, small, small_batches, table
 from .hashing import build_bloom, chunks, flat_tokens, mix
 
 #: Words of a shingle, and the similarity that links: 100 * intersection >= 75 * union.
 WORDS, NUM, DEN = 5, 75, 100
-#: Cells and parts of the frequency sketch that orders shingles; bits of the filter for texts to fetch.
-LOG_CELLS, LOG_PARTS, LOG_FETCH = 18, 9, 24
-#: Shingles in a cell with more entities than this are dealt out to so many tasks.
-HOT, SALTS = 200_000, 256
-#: Cells of a set's print; rounds in which components meet by one pair a posting before all pairs left are tried.
+#: Cells and parts of the frequency sketch that orders shingles.
+LOG_CELLS, LOG_PARTS = 18, 9
+#: Shingles in a cell with more entities than this are dealt out to so many sub-groups.
+HOT, SALTS = 200_000, 255
+#: Postings that a worker packs or takes apart at once.
+HELD = 2_000_000
+#: Postings of a group that meet in one block, and blocks of a group at most while they have no more than so many postings.
+SPLIT, MOST_BLOCKS, MOST_SPLIT = 256, 64, 200_000
+#: Cells of a set's print; rounds of one pair a posting before all pairs left are tried.
 LOG_PRINT, ROUNDS = 10, 1
+#: Links that one task unites, 16 bytes each; where there are more, they meet by stars in many tasks.
+ONE_TASK = 2_000_000
 #: Texts whose shingles the verifying worker remembers.
 REMEMBERED = 256
+#: Names of sets that two different sets may share before the operator gives up; 128 bits tell those apart.
+MOST_CLASHES = 10_000
 _COEFFICIENTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
@@ -67,52 +78,79 @@ def shingle_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return key << _DROPPED, np.bincount((key >> np.uint64(_KEPT)).astype(np.int64), minlength=len(texts)).astype(np.int64)
 
 
-def set_names(h: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """A 64-bit name of each set, the same for equal sets; 0 for empty ones."""
-    out = np.zeros(len(n), np.uint64)
+def set_names(h: np.ndarray, n: np.ndarray, clashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit names of each set, the same for equal sets, 0 for empty ones; names known to clash give way to the second."""
+    name, other = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
     some = np.flatnonzero(n)
     if len(some):
         starts = (np.cumsum(n) - n)[some]
         one = np.add.reduceat(mix(h ^ np.uint64(0x5851F42D4C957F2D)), starts)
         two = np.add.reduceat(mix(h + np.uint64(0x14057B7EF767814F)), starts)
-        out[some] = mix(one + mix(two) * np.uint64(3) + n[some].astype(np.uint64))
-    return out
+        size = n[some].astype(np.uint64)
+        name[some] = mix(one + mix(two) * np.uint64(3) + size)
+        other[some] = mix(two + mix(one + size) * np.uint64(5))
+    if clashes is not None and len(clashes):
+        name = np.where(np.isin(name, clashes), other, name)
+    return name, other
+
+
+def prints_of(h: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Each set's parity in 2**LOG_PRINT hash cells; sets differ in at least as many shingles as their prints differ in bits."""
+    at = (np.repeat(np.arange(len(n)), n) << LOG_PRINT) | (h >> np.uint64(64 - LOG_PRINT)).astype(np.int64)
+    odd = (np.bincount(at, minlength=len(n) << LOG_PRINT) & 1).astype(np.uint8).reshape(len(n), -1)
+    return [x.tobytes() for x in np.packbits(odd, axis=1)]
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
 
+class _Fresh:
+    """Which names a task meets for the first time."""
+
+    def __init__(self):
+        self.seen: set[int] = set()
+
+    def __call__(self, names: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(names), bool)
+        for k, x in enumerate(names.tolist()):
+            if x and x not in self.seen:
+                self.seen.add(x)
+                out[k] = True
+        return out
+
+
 def _read(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """Settled: a row per row of ``docs`` (id, n, entity), and rows of the frequency sketch (part, cells)."""
+    """Settled: a row per row of ``docs`` (id, n, entity, other name, print), and rows of the frequency sketch (part, cells).
+
+    A task gives the print of each entity once.
+    """
     step = 1 << (LOG_CELLS - LOG_PARTS)
+    names = ["doc_id", "n", "entity", "other", "print", "part", "cells"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << LOG_CELLS, np.int32)
-        seen: set[int] = set()
+        first = _Fresh()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(1)
             for part in chunks(texts):
                 h, n = shingle_sets(texts[part])
-                name = set_names(h, n)
-                fresh = np.zeros(len(n), bool)
-                for k, x in enumerate(name.tolist()):
-                    if x not in seen:
-                        seen.add(x)
-                        fresh[k] = True
-                cells += np.bincount((h[np.repeat(fresh, n)] >> np.uint64(64 - LOG_CELLS)).astype(np.int64), minlength=1 << LOG_CELLS).astype(np.int32)
+                name, other = set_names(h, n)
+                fresh = first(name)
+                own = h[np.repeat(fresh, n)]
+                cells += np.bincount((own >> np.uint64(64 - LOG_CELLS)).astype(np.int64), minlength=1 << LOG_CELLS).astype(np.int32)
+                prints = np.full(len(n), None, object)
+                prints[fresh] = prints_of(own, n[fresh])
                 size = len(n)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[part], pa.array(n, pa.int64()), _signed(name), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())],
-                    names=["doc_id", "n", "entity", "part", "cells"],
-                )
+                columns = [batch.column(0)[part], pa.array(n, pa.int64()), _signed(name), _signed(other), pa.array(prints, pa.binary()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
         some = [k for k in range(1 << LOG_PARTS) if cells[k * step : (k + 1) * step].any()]
-        size = len(some)
         blobs = pa.array([cells[k * step : (k + 1) * step].tobytes() for k in some], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64()), pa.array(some, pa.int32()), blobs], names=["doc_id", "n", "entity", "part", "cells"])
+        empty = [pa.nulls(len(some), pa.int64())] * 4
+        yield pa.RecordBatch.from_arrays([*empty, pa.nulls(len(some), pa.binary()), pa.array(some, pa.int32()), blobs], names=names)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return settle(rows.mapInArrow(run, "doc_id long, n long, entity long, part int, cells binary"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return settle(rows.mapInArrow(run, "doc_id long, n long, entity long, other long, print binary, part int, cells binary"))
 
 
 def _frequencies(read: DataFrame) -> np.ndarray:
@@ -130,66 +168,124 @@ def _frequencies(read: DataFrame) -> np.ndarray:
 
     out = np.zeros(1 << LOG_CELLS, np.int64)
     parts = read.where("part is not null").select("part", "cells").repartition(64, "part").mapInArrow(add, "part int, cells binary")
-    for row in parts.toLocalIterator():
+    for row in parts.collect():  # 2**LOG_PARTS rows
         out[row["part"] * step : (row["part"] + 1) * step] += np.frombuffer(row["cells"], np.int64)
     return out
 
 
-def _postings(docs: DataFrame, cells: np.ndarray, text_col: str) -> DataFrame:
-    """A row per shingle in an entity's prefix: shingle, entity, set size, place in rare-first order."""
+def _entities(rows: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """``rows`` and settled entities (e, first id, n, print), no two different sets under one name; the names that clashed."""
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        found = rows.where("n > 0").groupBy(F.col("entity").alias("e"))
+        return settle(found.agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), F.max("print").alias("print"), (F.min("other") != F.max("other")).alias("clash")))
+
+    found = grouped(rows)
+    clashes = [r["e"] for r in found.where("clash").select("e").limit(MOST_CLASHES + 1).collect()]
+    if len(clashes) > MOST_CLASHES:
+        raise ValueError("too many shingle sets share a name")
+    if clashes:
+        rows = rows.withColumn("entity", F.when(F.col("entity").isin(clashes), F.col("other")).otherwise(F.col("entity")))
+        found = grouped(rows)
+    return rows, found.select("e", "first", "n", "print"), np.array(clashes, np.int64).view(np.uint64)
+
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """The same numbers, in 2 bytes each where they fit, else in 4."""
+    return x.astype("<u2" if not len(x) or x.max() < 1 << 16 else "<u4")
+
+
+def _pack(h: np.ndarray, e: np.ndarray, n: np.ndarray, p: np.ndarray) -> bytes:
+    """Postings sorted by shingle: steps between shingles in 5 bytes, places in a table of entities."""
+    steps = np.diff(h >> _DROPPED, prepend=np.uint64(0))
+    first, steps[:1] = steps[:1].copy(), 0
+    wide = 8 if len(steps) and steps.max() >= np.uint64(1 << 40) else 5
+    table, at, back = np.unique(e, return_index=True, return_inverse=True)
+    columns = [_narrow(x) for x in (back, p, n[at])]
+    head = np.array([len(h), len(table), wide, *(x.itemsize for x in columns), int(first[0]) if len(first) else 0], "<i8")
+    return head.tobytes() + np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide]).tobytes() + table.astype("<u8").tobytes() + b"".join(x.tobytes() for x in columns)
+
+
+def _unpack(blob: bytes) -> tuple[np.ndarray, ...]:
+    size, known, wide, *widths, first = np.frombuffer(blob, "<i8", 7).tolist()
+    at = 56
+    steps = np.zeros((size, 8), np.uint8)
+    steps[:, :wide] = np.frombuffer(blob, np.uint8, size * wide, at).reshape(size, wide)
+    at += size * wide
+    steps = steps.view("<u8")[:, 0].copy()
+    steps[:1] = first
+    table = np.frombuffer(blob, "<u8", known, at)
+    at += 8 * known
+    out = []
+    for width, count in zip(widths, (size, size, known), strict=True):
+        out.append(np.frombuffer(blob, f"<u{width}", count, at).astype(np.int64))
+        at += width * count
+    back, p, n = out
+    return np.cumsum(steps, dtype=np.uint64) << _DROPPED, table[back], n[back], p
+
+
+def _postings(docs: DataFrame, cells: np.ndarray, clashes: np.ndarray, ranges: int, text_col: str) -> DataFrame:
+    """The prefixes of all entities (shingle, entity, set size, place in rare-first order), packed: range, sub-group, blob.
+
+    A range holds all postings of its shingles; those of hot cells are dealt to sub-groups, each in a range of its own.
+    """
     # rank of each cell by frequency: the one order that all tasks sort by
     cell = np.argsort(cells, kind="stable").astype(np.uint32)
     rank = np.empty(len(cells), np.uint32)
     rank[cell] = np.arange(len(cells), dtype=np.uint32)
-    shared = docs.sparkSession.sparkContext.broadcast((rank, cell, cells > HOT))
+    shared = docs.sparkSession.sparkContext.broadcast((rank, cell, cells > HOT, clashes))  # 2**LOG_CELLS cells, whatever the input
     rest = np.uint64(_KEPT - LOG_CELLS)  # bits of a hash below those of its cell
 
+    def ranged(h: np.ndarray) -> np.ndarray:
+        return ((h >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        rank, cell, hot = shared.value
+        rank, cell, hot, clashes = shared.value
+        first, held = _Fresh(), []
+
+        def flush() -> pa.RecordBatch:
+            out = []
+            if held:
+                h, e, n, p, s = (np.concatenate(x) for x in zip(*held, strict=True))
+                held.clear()
+                order = np.argsort(h, kind="stable")
+                h, e, n, p, s = h[order], e[order], n[order], p[order], s[order]
+                cold = s == 0
+                r = ranged(h[cold])
+                cuts = np.searchsorted(r, np.arange(ranges + 1))
+                parts = [x[cold] for x in (h, e, n, p)]
+                out = [(k, 0, _pack(*(x[a:b] for x in parts))) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
+                for k in np.unique(s[~cold]).tolist():
+                    parts = [x[s == k] for x in (h, e, n, p)]
+                    r = ranged(mix(parts[0] + np.uint64(k)))
+                    out += [(int(x), k, _pack(*(y[r == x] for y in parts))) for x in np.unique(r)]
+            r, s, blob = zip(*out, strict=True) if out else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(r, pa.int32()), pa.array(s, pa.int32()), pa.array(blob, pa.binary())], names=["r", "s", "blob"])
+
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for part in chunks(texts, 1 << 20):
+            texts = batch.column(0)
+            for part in chunks(texts):
                 h, n = shingle_sets(texts[part])
-                name = set_names(h, n)
-                fresh = np.zeros(len(n), bool)
-                for k, x in enumerate(name.tolist()):
-                    if x and x not in seen:  # copies in the same task post once
-                        seen.add(x)
-                        fresh[k] = True
+                name, _ = set_names(h, n, clashes)
+                fresh = first(name)  # copies in the same task post once
                 h, doc = h[np.repeat(fresh, n)], np.repeat(np.flatnonzero(fresh), n[fresh])
                 # the text, then the rank of the cell, then what the cell leaves of the hash: sorted as one number
                 low = (h >> _DROPPED) & np.uint64((1 << int(rest)) - 1)
                 key = (doc.astype(np.uint64) << np.uint64(_KEPT)) | (rank[(h >> np.uint64(64 - LOG_CELLS)).astype(np.int64)].astype(np.uint64) << rest) | low
                 key.sort()
-                where = cell[((key >> rest) & np.uint64((1 << LOG_CELLS) - 1)).astype(np.int64)].astype(np.uint64)
-                h = (where << np.uint64(64 - LOG_CELLS)) | ((key & np.uint64((1 << int(rest)) - 1)) << _DROPPED)
                 sizes = np.where(fresh, n, 0)
                 place = np.arange(len(h)) - (np.cumsum(sizes) - sizes)[doc]
-                prefix = n - (-(-NUM * n // DEN)) + 1
-                take = place < prefix[doc]
-                h, doc, place = h[take], doc[take], place[take]
-                salt = np.where(hot[(h >> np.uint64(64 - LOG_CELLS)).astype(np.int64)], 1 + name[doc] % np.uint64(SALTS), 0)
-                yield pa.RecordBatch.from_arrays([_signed(h), _signed(name[doc]), pa.array(n[doc].astype(np.int32), pa.int32()), pa.array(place.astype(np.int32), pa.int32()), pa.array(salt.astype(np.int32), pa.int32())], names=["h", "e", "n", "p", "s"])
+                take = place < (n - (-(-NUM * n // DEN)) + 1)[doc]
+                key, doc, place = key[take], doc[take], place[take]
+                where = cell[((key >> rest) & np.uint64((1 << LOG_CELLS) - 1)).astype(np.int64)]
+                h = (where.astype(np.uint64) << np.uint64(64 - LOG_CELLS)) | ((key & np.uint64((1 << int(rest)) - 1)) << _DROPPED)
+                salt = np.where(hot[where], 1 + (name[doc] % np.uint64(SALTS)).astype(np.int64), 0)
+                held.append((h, name[doc], n[doc].astype(np.int32), place.astype(np.int32), salt.astype(np.uint8)))
+                if sum(len(x[0]) for x in held) >= HELD:
+                    yield flush()
+        yield flush()
 
-    return docs.select(text_col).mapInArrow(run, "h long, e long, n int, p int, s int")
-
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """Columns of whole groups of equal first column, from rows sorted by it; several groups at a time."""
-    left: list[np.ndarray] | None = None
-    for batch in batches:
-        now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        if left is not None:
-            now = [np.concatenate(x) for x in zip(left, now, strict=True)]
-        if not len(now[0]):
-            continue
-        cut = int(np.searchsorted(now[0], now[0][-1], "left")) if now[0][0] != now[0][-1] else 0
-        if cut:
-            yield tuple(x[:cut] for x in now)
-        left = [x[cut:] for x in now]
-    if left is not None and len(left[0]):
-        yield tuple(left)
+    return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "r int, s int, blob binary")
 
 
 def _fits(na, pa_, nb, pb) -> np.ndarray:
@@ -201,103 +297,142 @@ def _fits(na, pa_, nb, pb) -> np.ndarray:
     return (DEN * np.minimum(na, nb) >= NUM * np.maximum(na, nb)) & ((NUM + DEN) * most >= NUM * (na + nb))
 
 
-def _meeting(postings: DataFrame) -> DataFrame:
-    """Settled postings (h, e, n, p) of shingles that several entities share, one of them fit for another.
-
-    Of a shingle dealt out to many tasks, none sees all entities, so all of its postings stay.
+def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair once, the lesser first."""
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    one = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
+    return a[one], b[one]
+
+
+def _shared_only(h: np.ndarray, e: np.ndarray, n: np.ndarray, p: np.ndarray, alone: bool) -> tuple[np.ndarray, ...]:
+    """Postings by shingle and entity, each once, of shingles that several entities have; alone: of all."""
+    order = np.argsort(h, kind="stable")
+    same = h[order[1:]] == h[order[:-1]]
+    if not alone:
+        order = order[np.r_[False, same] | np.r_[same, False]] if len(order) else order
+    h, e, n, p = h[order], e[order], n[order], p[order]
+    order = np.lexsort((e, h))
+    h, e, n, p = h[order], e[order], n[order], p[order]
+    one = np.r_[True, (h[1:] != h[:-1]) | (e[1:] != e[:-1])] if len(h) else np.zeros(0, bool)
+    h, e, n, p = h[one], e[one], n[one], p[one]
+    if alone or not len(h):
+        return h, e, n, p
+    starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+    size = np.diff(np.r_[starts, len(h)])
+    keep = np.repeat(size > 1, size)
+    return h[keep], e[keep], n[keep], p[keep]
+
+
+def _meeting(packed: DataFrame, ranges: int) -> DataFrame:
+    """Settled: postings (h, e, n, p) of groups of four or more, and pairs (a, b) to try first, distinct within a task.
+
+    All pairs of a group of two or three; in a larger one, and in each sub-group
+    of a hot one, every entity with the least and the largest.
     """
-
-    def rows(h, e, n, p) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(e, pa.int64()), pa.array(n.astype(np.int32), pa.int32()), pa.array(p.astype(np.int32), pa.int32())], names=["h", "e", "n", "p"])
+    schema = "h long, e long, n int, p int, a long, b long"
+    names = ["h", "e", "n", "p", "a", "b"]
+
+    def meet(h, e, n, p, alone: bool) -> Iterator[pa.RecordBatch]:
+        h, e, n, p = _shared_only(h, e, n, p, alone)
+        if not len(h):
+            return
+        starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        size = np.diff(np.r_[starts, len(h)])
+        a, b = [], []
+        for hub in (starts, starts + size - 1):
+            hub = np.repeat(hub, size)
+            ok = (np.arange(len(h)) != hub) & _fits(n, p, n[hub], p[hub])
+            a.append(e[ok])
+            b.append(e[hub[ok]])
+        a, b = _distinct(np.concatenate(a), np.concatenate(b))
+        none = pa.nulls(len(a), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none.cast(pa.int32()), none.cast(pa.int32()), _signed(a), _signed(b)], names=names)
+        # an entity stays if its own best case leaves room for the smallest fit size or the most that follows in the group
+        room = (NUM + DEN) * (n - p) // NUM - n  # the largest partner that its rest allows
+        fit = (room >= np.repeat(np.minimum.reduceat(n, starts), size)) & (np.repeat(np.maximum.reduceat(room, starts), size) >= n)
+        keep = alone | (fit & np.repeat(size > 3, size))
+        h, e, n, p = h[keep], e[keep], n[keep], p[keep]
+        none = pa.nulls(len(h), pa.int64())
+        yield pa.RecordBatch.from_arrays([_signed(h), _signed(e), pa.array(n.astype(np.int32)), pa.array(p.astype(np.int32)), none, none], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for h, e, n, p, s in _groups(batches):
-            same = h[1:] == h[:-1]
-            several = np.r_[False, same] | np.r_[same, False] | (s > 0)
-            h, e, n, p, s = h[several], e[several], n[several], p[several], s[several]
-            if not len(h):
-                continue
-            order = np.lexsort((e, h))
-            h, e, n, p, s = h[order], e[order], n[order], p[order], s[order]
-            one = np.r_[True, (h[1:] != h[:-1]) | (e[1:] != e[:-1])]  # an entity that several tasks posted
-            if (s > 0).any():
-                yield rows(*(x[one & (s > 0)] for x in (h, e, n, p)))
-            one &= s == 0
-            h, e, n, p = h[one], e[one], n[one], p[one]
-            if not len(h):
-                continue
-            starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-            size = np.diff(np.r_[starts, len(h)])
-            keep = np.repeat(size > 1, size)
-            h, e, n, p = h[keep], e[keep], n[keep].astype(np.int64), p[keep].astype(np.int64)
-            if not len(h):
-                continue
-            # an entity stays if its own best case leaves room for the smallest fit size or the most that follows in the group
-            starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-            size = np.diff(np.r_[starts, len(h)])
-            room = (NUM + DEN) * (n - p) // NUM - n  # the largest partner that its rest allows
-            most = np.repeat(np.maximum.reduceat(room, starts), size)
-            least = np.repeat(np.minimum.reduceat(n, starts), size)
-            keep = (room >= least) & (most >= n)
-            yield rows(h[keep], e[keep], n[keep], p[keep])
-
-    return settle(postings.repartition("h", "s").sortWithinPartitions("h").mapInArrow(run, "h long, e long, n int, p int"))
-
-
-def _hub_pairs(meeting: DataFrame) -> DataFrame:
-    """Each posting with the least and the largest entity of its shingle, where the filters let the pair through."""
-    one = F.struct("e", "n", "p")
-    hubs = meeting.groupBy("h").agg(F.min(one).alias("lo"), F.max(one).alias("hi"))
-    met = meeting.join(hubs, "h")
-    pairs = None
-    for hub in ("lo", "hi"):
-        o = F.col(hub)
-        rest = F.least(F.col("n") - F.col("p"), o["n"] - o["p"])
-        near = (F.lit(DEN) * F.least("n", o["n"]) >= F.lit(NUM) * F.greatest("n", o["n"])) & (F.lit(NUM + DEN) * rest >= F.lit(NUM) * (F.col("n") + o["n"]))
-        part = met.where((F.col("e") != o["e"]) & near).select(F.least("e", o["e"]).alias("a"), F.greatest("e", o["e"]).alias("b"))
-        pairs = part if pairs is None else pairs.unionByName(part)
-    return pairs
-
-
-def _prints(texts: DataFrame) -> DataFrame:
-    """Settled: entity and its set's parity in 2**LOG_PRINT hash cells, 128 bytes.
-
-    Sets differ in at least as many shingles as their prints differ in bits.
-    """
+        groups: dict[int, list[tuple[np.ndarray, ...]]] = {}
+        for batch in batches:
+            for s, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                groups.setdefault(s, []).append(_unpack(blob))
+        for s in sorted(groups):
+            yield from meet(*(np.concatenate(x) for x in zip(*groups.pop(s), strict=True)), s > 0)
+
+    return settle(packed.repartitionById(ranges, "r").mapInArrow(run, schema))
+
+
+def _near(pairs: DataFrame, entities: DataFrame) -> DataFrame:
+    """The pairs whose prints do not differ in more shingles than similar sets can."""
+    of = lambda x: entities.select(F.col("e").alias(x), F.col("n").alias(f"n{x}"), F.col("print").alias(f"p{x}"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "nb", "pa", "pb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.column(1).to_pylist()
-            for part in chunks(rows, 1 << 20):
-                h, n = shingle_sets(rows[part])
-                at = (np.repeat(np.arange(len(n)), n) << LOG_PRINT) | (h >> np.uint64(64 - LOG_PRINT)).astype(np.int64)
-                odd = (np.bincount(at, minlength=len(n) << LOG_PRINT) & 1).astype(np.uint8).reshape(len(n), -1)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[part], pa.array([x.tobytes() for x in np.packbits(odd, axis=1)], pa.binary())], names=["e", "print"])
+            if not batch.num_rows:
+                continue
+            size = (batch.column(2).to_numpy(zero_copy_only=False) + batch.column(3).to_numpy(zero_copy_only=False)).astype(np.int64)
+            bits = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for k in (4, 5)]
+            apart = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64)
+            keep = pa.array((NUM + DEN) * (size - apart) >= 2 * NUM * size)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
-    return settle(texts.mapInArrow(run, "e long, print binary"))
+    return both.mapInArrow(run, "a long, b long")
 
 
-def _open(meeting: DataFrame, roots: DataFrame) -> DataFrame:
-    """Settled postings with their component, of the shingles whose entities are in several components."""
+def _open(meeting: DataFrame, roots: DataFrame, entities: DataFrame) -> DataFrame:
+    """Settled postings with component, group size and print, of the shingles whose entities are in several components."""
     named = meeting.join(roots, "e", "left").select("h", "e", "n", "p", F.coalesce("root", "e").alias("root"))
-    several = named.groupBy("h").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo != _hi").select("h")
-    return settle(named.join(several, "h", "left_semi"))
+    groups = named.groupBy("h").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count("*").alias("size"))
+    found = named.join(groups.where("_lo != _hi").select("h", "size"), "h")
+    return settle(found.join(entities.select("e", "print"), "e"))
 
 
-def _cross_pairs(named: DataFrame, prints: DataFrame, one_each: bool) -> DataFrame:
-    """Pairs of a shingle's postings in different components that pass all filters, in blocks.
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Columns of whole groups of equal first two columns, from rows sorted by them; several groups at a time."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        last = (now[0] == now[0][-1]) & (now[1] == now[1][-1])
+        cut = int(np.argmax(last))
+        if held and (cut or (held[-1][0][-1], held[-1][1][-1]) != (now[0][0], now[1][0])):
+            yield tuple(np.concatenate(x) for x in zip(*held, [x[:cut] for x in now], strict=True))
+            held = []
+        elif cut:
+            yield tuple(x[:cut] for x in now)
+        held.append([x[cut:] for x in now])
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
+def _cross_pairs(named: DataFrame, one_each: bool) -> DataFrame:
+    """Pairs of a shingle's postings in different components that pass all filters.
 
-    one_each: of each posting only the first such pair on either side, so that
-    components meet in numbers that grow with the postings; else every pair.
+    Groups over SPLIT are cut into blocks by entity, and each two blocks meet in a
+    task of their own.  one_each: of each posting only the first such pair on
+    either side, so that components meet in numbers that grow with the postings;
+    else every pair.
     """
-    marked = named.join(prints, "e").select("h", "e", "n", "p", "root", "print")
+    blocks = F.greatest(F.least(F.ceil(F.col("size") / SPLIT), F.lit(MOST_BLOCKS)), F.ceil(F.col("size") / MOST_SPLIT)).cast("int")
+    dealt = named.withColumn("k", blocks).withColumn("own", F.pmod(F.xxhash64("e"), F.col("k")).cast("int"))
+    cell = lambda x: F.least(x, F.col("own")) * F.col("k") + F.greatest(x, F.col("own"))
+    dealt = dealt.withColumn("cell", F.explode(F.transform(F.sequence(F.lit(0), F.col("k") - 1), cell)))
+    dealt = dealt.select("h", "cell", "own", (F.floor(F.col("cell") / F.col("k")) != F.col("cell") % F.col("k")).alias("two"), "e", "n", "p", "root", "print")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for h, e, n, p, root, bits in _groups(batches):
-            order = np.lexsort((e, n, h))
-            h, e, n, p, root, bits = h[order], e[order], n[order].astype(np.int64), p[order].astype(np.int64), root[order], bits[order]
+        for h, cell, own, two, e, n, p, root, bits in _groups(batches):
+            order = np.lexsort((e, n, cell, h))
+            h, cell, own, two, e, n, p, root, bits = (x[order] for x in (h, cell, own, two, e, n.astype(np.int64), p.astype(np.int64), root, bits))
             bits = np.frombuffer(b"".join(bits), np.uint64).reshape(len(h), -1)
-            starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            starts = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (cell[1:] != cell[:-1])])
             for i, j in zip(starts, [*starts[1:], len(h)], strict=True):
                 if (root[i:j] == root[i]).all():
                     continue
@@ -310,6 +445,8 @@ def _cross_pairs(named: DataFrame, prints: DataFrame, one_each: bool) -> DataFra
                     off = np.arange(len(left)) - np.repeat(np.cumsum(todo[lo:hi]) - todo[lo:hi], todo[lo:hi])
                     right = left + 1 + off
                     ok = (root[left] != root[right]) & _fits(n[left], p[left], n[right], p[right])
+                    if two[i]:
+                        ok &= own[left] != own[right]
                     left, right = left[ok], right[ok]
                     both = n[left] + n[right]
                     apart = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1, dtype=np.int64)
@@ -326,7 +463,7 @@ def _cross_pairs(named: DataFrame, prints: DataFrame, one_each: bool) -> DataFra
                         left, right = e[left], e[right]
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right))], names=["a", "b"])
 
-    return marked.repartition("h").sortWithinPartitions("h").mapInArrow(run, "a long, b long")
+    return dealt.repartition("h", "cell").sortWithinPartitions("h", "cell").mapInArrow(run, "a long, b long")
 
 
 def _blocks(todo: np.ndarray, most: int = 1 << 17) -> Iterator[tuple[int, int]]:
@@ -339,79 +476,59 @@ def _blocks(todo: np.ndarray, most: int = 1 << 17) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def _texts(docs: DataFrame, meeting: DataFrame, read: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """Settled: entity and text, one for each entity that shares a shingle.
+def _texts(docs: DataFrame, pairs: DataFrame, entities: DataFrame, repeated: bool, clashes: np.ndarray, text_col: str, id_col: str) -> DataFrame:
+    """Settled: entity and text of the entities in these pairs.
 
-    Texts are fetched by their id: a filter of fixed size picks them on the scan, so
-    the others are not shuffled.  Where ids are repeated the text's set must also
-    have the entity's name.
+    Texts are fetched by their id: a broadcast of counted size, or a filter sized
+    by the count, picks them on the scan, so the others are not shuffled.  Where
+    ids are repeated or null the text's set must also have the entity's name.
     """
-    rows = read.where("part is null and n > 0")
-    wanted = meeting.select("e").distinct()
-    ids = rows.groupBy("entity").agg(F.min("doc_id").alias("doc_id"))
-    chosen = settle(ids.join(wanted, ids["entity"] == wanted["e"]).select("e", F.col("doc_id").alias("_id")))
-    repeated = rows.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count() > 0
-    bloom = docs.sparkSession.sparkContext.broadcast(build_bloom(chosen.select(F.xxhash64("_id").alias("k")), LOG_FETCH, 4))
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(bloom.value.has(batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64))))
-
-    def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, names = batch.column(1).to_pylist(), batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            keep = [set_names(*shingle_sets(texts[part])) == names[part] for part in chunks(texts)]
-            yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
-
+    wanted = pairs.select(F.col("a").alias("e")).unionByName(pairs.select(F.col("b").alias("e"))).distinct()
+    chosen = settle(entities.select("e", F.col("first").alias("_id")).join(wanted, "e"))
+    count = chosen.count()
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = source.withColumn("k", F.xxhash64("doc_id")).mapInArrow(pick, "doc_id long, text string, k long")
-    if not repeated:
-        return settle(found.join(chosen, found["doc_id"] == chosen["_id"]).select("e", "text"))
-    found = found.join(chosen, found["doc_id"].eqNullSafe(chosen["_id"])).select("e", "text").mapInArrow(same, "e long, text string")
-    return settle(found.groupBy("e").agg(F.first("text").alias("text")))
+    ids = small(chosen)
+    if ids is chosen:
+        log_bits = min(30, max(20, int(np.ceil(np.log2(count * 8)))))
+        bloom = docs.sparkSession.sparkContext.broadcast(build_bloom(chosen.select(F.xxhash64("_id").alias("k")), log_bits, 4))
 
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(bloom.value.has(batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64))))
 
-def _wanted_texts(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts of these pairs, picked where they lie by a filter of fixed size."""
-    keys = pairs.select(F.xxhash64("a").alias("k")).unionByName(pairs.select(F.xxhash64("b").alias("k")))
-    bloom = texts.sparkSession.sparkContext.broadcast(build_bloom(keys, LOG_FETCH, 4))
+        source = source.withColumn("k", F.xxhash64("doc_id")).mapInArrow(pick, "doc_id long, text string, k long")
+    if not repeated:
+        return settle(source.join(ids, source["doc_id"] == ids["_id"]).select("e", "text"))
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(bloom.value.has(batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64))))
+            texts, names = batch.column(1), batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            keep = [set_names(*shingle_sets(texts[part]), clashes)[0] == names[part] for part in chunks(texts)]
+            yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
 
-    return texts.withColumn("k", F.xxhash64("e")).mapInArrow(pick, "e long, text string, k long").drop("k")
+    found = source.join(ids, source["doc_id"].eqNullSafe(ids["_id"])).select("e", "text").mapInArrow(same, "e long, text string")
+    return settle(found.groupBy("e").agg(F.first("text").alias("text")))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose whole sets are similar enough.
-
-    The suffix filter comes first: cut at the same hash values, both sets' pieces
-    differ at least by the difference of their sizes.
-    """
+    """The pairs whose whole sets are similar enough."""
     left, right = texts.select(F.col("e").alias("a"), F.col("text").alias("ta")), texts.select(F.col("e").alias("b"), F.col("text").alias("tb"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        sets: dict[int, np.ndarray] = {}
+
+        def known(name: int, text: pa.Array) -> np.ndarray:
+            if name not in sets:
+                if len(sets) >= REMEMBERED:
+                    sets.clear()
+                sets[name] = shingle_sets(text)[0]
+            return sets[name]
+
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             ok = []
-            for k, pair in enumerate(zip(a, b, strict=True)):
-                got = []
-                for name, column in zip(pair, (2, 3), strict=True):
-                    if name not in sets:
-                        if len(sets) >= REMEMBERED:
-                            sets.clear()
-                        h = shingle_sets([batch.column(column)[k].as_py()])[0]
-                        sets[name] = h, np.bincount((h >> np.uint64(58)).astype(np.int64), minlength=64)
-                    got.append(sets[name])
-                (x, cx), (y, cy) = got
-                apart = int(np.abs(cx - cy).sum())
-                if (NUM + DEN) * (len(x) + len(y) - apart) < 2 * NUM * (len(x) + len(y)):
-                    ok.append(False)
-                    continue
-                both = np.concatenate((x, y))
+            for k, (a, b) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                both = np.concatenate((known(a, batch.column(2)[k : k + 1]), known(b, batch.column(3)[k : k + 1])))
                 both.sort(kind="stable")
                 shared = int((both[1:] == both[:-1]).sum())
                 ok.append(DEN * shared >= NUM * (len(both) - shared))
@@ -421,10 +538,38 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _united(edges: DataFrame) -> DataFrame:
+    """Settled components of so few links that one task holds them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)) for b in batches]
+        if not held:
+            return
+        a, b = (np.concatenate(x) for x in zip(*held, strict=True))
+        names, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+        a, b = ends[: len(a)], ends[len(a) :]
+        label = np.arange(len(names))
+        while True:
+            least = np.minimum(label[a], label[b])
+            before = label.copy()
+            for end in (a, b):
+                np.minimum.at(label, label[end], least)
+                np.minimum.at(label, end, least)
+            label = label[label]
+            if (label == before).all():
+                break
+        some = names[label] != names
+        yield pa.RecordBatch.from_arrays([pa.array(names[some], pa.int64()), pa.array(names[label][some], pa.int64())], names=["e", "root"])
+
+    return settle(edges.repartition(1).mapInArrow(run, "e long, root long"))
+
+
 def components(links: DataFrame) -> DataFrame:
-    """Entity and least entity of its component, by alternating large and small stars."""
+    """Entity and least entity of its component, of all but the least ones; by alternating large and small stars."""
     both = lambda x: x.unionByName(x.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = settle(links.select("a", "b").where("a != b").distinct())
+    if edges.limit(ONE_TASK + 1).count() <= ONE_TASK:
+        return _united(edges)
     seen = None
     while True:
         # large star: larger neighbours of a node go to its least neighbour or itself
@@ -437,49 +582,65 @@ def components(links: DataFrame) -> DataFrame:
         small = down.join(least, "a").select(F.col("b").alias("x"), "m", "a")
         edges = settle(small.where("x != m").select(F.col("x").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        release(edges.sparkSession)
         if tuple(state) == seen:
             return edges.select(F.col("a").alias("e"), F.col("b").alias("root"))
         seen = tuple(state)
 
 
+def _links(docs: DataFrame, entities: DataFrame, repeated: bool, clashes: np.ndarray, cells: np.ndarray, text_col: str, id_col: str) -> DataFrame | None:
+    """Entity and least entity of its component, of all entities with links; None if there are none."""
+    postings = entities.agg(F.sum(F.floor(F.col("n") / 4) + 1)).first()[0] or 0
+    ranges = max(16, -(-int(postings) // HELD))
+    met = _meeting(_postings(docs, cells, clashes, ranges, text_col), ranges)
+    meeting = met.where("h is not null").select("h", "e", "n", "p")
+    tried, links, roots = None, None, None
+
+    def verify(pairs: DataFrame) -> bool:
+        """Try these pairs; were there any links?"""
+        nonlocal tried, links, roots
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        if not pairs.limit(1).count():
+            return False
+        new = settle(_verified(pairs, _texts(docs, pairs, entities, repeated, clashes, text_col, id_col)))
+        if not new.limit(1).count():
+            return False
+        links = new if roots is None else roots.select(F.col("e").alias("a"), F.col("root").alias("b")).unionByName(new)
+        roots = components(links)
+        return True
+
+    verify(settle(_near(met.where("a is not null").select("a", "b").distinct(), entities)))
+    none = entities.limit(0).select("e", F.col("e").alias("root"))
+    named = None
+    for k in range(ROUNDS + 1):
+        named = _open(meeting, none if roots is None else roots, entities)
+        if not named.limit(1).count():
+            break
+        verify(settle(_cross_pairs(named, k < ROUNDS).distinct().join(tried, ["a", "b"], "left_anti")))
+    return roots
+
+
 def jaccard_join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, entity, component_id.
 
     component_id: the least doc_id that links reach, its own included.  Texts
     without words (null, empty, blank) have no shingles and link with nothing.  A
     null id counts in a component but never names it unless all are null;
-    repeated rows are one entity; an empty table gives an empty one.
+    repeated rows are one entity; an empty table gives an empty one.  Other
+    columns, of whatever name, are not read.  A very long text is held by one
+    worker with its shingles, some 20 bytes a word.
     """
     small_batches(docs.sparkSession)
     read = _read(docs, text_col, id_col)
-    meeting = _meeting(_postings(docs, _frequencies(read), text_col))
-    rows = read.where("part is null").select("doc_id", "n", "entity")
-    roots = None
-    if meeting.limit(1).count():
-        texts = _texts(docs, meeting, read, text_col, id_col)
-        tried = settle(_hub_pairs(meeting).distinct())
-        links = settle(_verified(tried, texts))
-        roots = components(links)
-        prints = None
-        for k in range(ROUNDS + 1):
-            named = _open(meeting, roots)
-            if not named.limit(1).count():
-                break
-            prints = _prints(texts) if prints is None else prints
-            rest = settle(_cross_pairs(named, prints, k < ROUNDS).distinct().join(tried, ["a", "b"], "left_anti"))
-            release(docs.sparkSession)
-            if rest.limit(1).count():
-                tried = tried.unionByName(rest)
-                links = links.unionByName(settle(_verified(rest, _wanted_texts(texts, rest))))
-                roots = components(links)
-    least = rows.groupBy("entity").agg(F.min("doc_id").alias("first"))
+    rows, entities, clashes = _entities(read.where("part is null").select("doc_id", "n", "entity", "other", "print"))
+    repeated = rows.where("n > 0").groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count() > 0
+    roots = _links(docs, entities, repeated, clashes, _frequencies(read), text_col, id_col)
+    least = entities.select(F.col("e").alias("_e"), "first")
     if roots is not None:
-        least = least.join(roots, least["entity"] == roots["e"], "left").select("entity", "first", F.coalesce("root", "entity").alias("root"))
+        least = least.join(roots, least["_e"] == roots["e"], "left").select("_e", "first", F.coalesce("root", "_e").alias("root"))
         by_root = least.groupBy("root").agg(F.min("first").alias("component"))
-        least = least.join(by_root, "root").select(F.col("entity").alias("_e"), "component")
+        least = least.join(by_root, "root").select("_e", "component")
     else:
-        least = least.select(F.col("entity").alias("_e"), F.col("first").alias("component"))
+        least = least.select("_e", F.col("first").alias("component"))
     out = rows.join(least, rows["entity"] == least["_e"], "left")
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "entity", own.alias("component_id"))
@@ -491,7 +652,7 @@ def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
     Rows without words or without an id stay.  Of rows with the same id and text one stays.
     """
     joined = settle(jaccard_join(docs, text_col, id_col))
-    gone = joined.where("n_shingles > 0 and doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = small(settle(joined.where("n_shingles > 0 and doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()))
     kept = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
     repeated = joined.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id", "entity").count().where("count > 1").limit(1).count()
     return kept.dropDuplicates([id_col, text_col]) if repeated else kept
