@@ -2,108 +2,121 @@
 
 One generative model counts the hashed n-grams of good labelled text (the
 target), another those of all text (raw).  A document's importance weight is the
-ratio of its probabilities under the two, and documents are drawn without
+ratio of its probabilities under the two, and k documents are drawn without
 replacement by Gumbel top-k on their log weights.
+
+N-grams are unigrams and bigrams of words and of runs of ASCII signs (a word
+after itself is one bigram, whatever the word), and n-grams of the bytes of a word
+with a mark at either end; all are hashed into one table.  As documents have 1 to many thousand words, log weights are those of a
+text of PER n-grams: the mean log ratio of the document's n-grams times PER.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import settle, small_batches, table
-from .hashing import REMEMBERED, chunks, mix
+from .common import settle, small, small_batches, table
+from .hashing import PLAIN, chunks, mix, split_words, token_hashes
 
-#: Buckets of hashed word unigrams and of form n-grams, and the parts they are summed in.
-LOG_WORDS, LOG_FORMS, LOG_PARTS = 19, 12, 10
+#: Buckets of hashed n-grams as a power of two, and the parts they are summed in; bytes of n-grams inside words.
+LOG_BUCKETS, LOG_PARTS, INSIDE = 20, 10, (5, 6, 7, 8)
 #: At most so many labelled documents, by hash of their id, train and calibrate the classifier.
 LABELLED = 40_000
-#: Pseudo-count, least expected count and least deviations from it for a bucket to say anything.
-SMOOTH, LEAST, SIGMA = 1.0, 5.0, 3.0
-#: Part of good calibration documents below the border of a family, log weight at the border, seed of the noise.
-REFUSED, BORDER, SEED = 0.005, -16.0, 20
-_PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
-_EDGE = np.uint64(0x9E3779B97F4A7C15)
-
-
-class _Plain(dict):
-    """Hash of a word in lower case without the signs around it."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.strip(_PUNCTUATION).lower())
-        return value
-
-
-class _Form(dict):
-    """Hash of a word's form: runs of small letters, capitals and digits shortened, signs kept."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        form = word
-        for run, sign in ((rb"[a-z\x80-\xff]+", b"a"), (rb"[A-Z]+", b"A"), (rb"[0-9]+", b"0")):
-            form = re.sub(run, sign, form)
-        value = self[word] = xxhash.xxh3_64_intdigest(form[:12])
-        return value
-
-
-_plain, _form = _Plain(), _Form()
-
-
-def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of word unigrams, buckets of form n-grams (form, repeated word or not), words of each text."""
-    flat: list[bytes] = []
-    lengths = np.zeros(len(texts), np.int64)
-    for k, text in enumerate(texts):
-        if text:
-            words = text.encode("utf-8", "surrogatepass").split()
-            flat += words
-            lengths[k] = len(words)
-    plain = np.fromiter(map(_plain.__getitem__, flat), np.uint64, len(flat))
-    form = np.fromiter(map(_form.__getitem__, flat), np.uint64, len(flat))
-    again = np.zeros(len(flat), np.uint64)
-    if len(flat):
-        again[1:] = plain[1:] == plain[:-1]
-        starts = np.cumsum(lengths) - lengths
-        again[starts[lengths > 0]] = 0
-    words = (mix(plain) >> np.uint64(64 - LOG_WORDS)).astype(np.int64)
-    forms = (mix(form + _EDGE * again) >> np.uint64(64 - LOG_FORMS)).astype(np.int64)
-    return words, forms, lengths
-
-
-_WIDTH = (1 << LOG_WORDS) + (1 << LOG_FORMS)
-
-
-@dataclass(frozen=True)
-class Model:
-    """Log ratio by bucket, 0 at most, and the clean border of both families."""
-
-    words: np.ndarray
-    forms: np.ndarray
-
-    def scores(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        words, forms, n = features(texts)
-        doc = np.repeat(np.arange(len(texts)), n)
-        root = np.sqrt(np.maximum(n, 1))
-        total = lambda ratio, at: np.bincount(doc, ratio[at], len(texts)) / root
-        return total(self.words, words), total(self.forms, forms), n
+#: Pseudo-count; a bucket's ratio counts where so many target n-grams are expected and their number differs by so many deviations.
+SMOOTH, LEAST, SIGMA = 1.0, 5.0, 3.5
+#: N-grams of the text that log weights are scaled to, about 300 words; seed of the noise.
+PER, SEED = 10_000, 20
+#: Where k is not given: the part of good calibration documents that may weigh less than the least of the k documents before noise.
+REFUSED = 0.01
+#: Text worked on at once.
+CHUNK = 1 << 22
+#: What runs of ASCII signs are split from: all else becomes a space.
+SIGNS = np.array([c if 32 < c < 127 and not chr(c).isalnum() else 32 for c in range(256)], np.uint8)
+_PAIR, _STEP, _AGAIN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x100000001B3), np.uint64(0x2545F4914F6CDD1D)
+
+
+def _buckets(h: np.ndarray, family: int) -> np.ndarray:
+    return (mix(h ^ np.uint64(family * int(_PAIR) % (1 << 64))) >> np.uint64(64 - LOG_BUCKETS)).astype(np.int64)
+
+
+def inside_words(words: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word and hash of every n-gram of bytes inside the words, each word between two marks."""
+    _, at, data = words.buffers()
+    wide = np.int64 if pa.types.is_large_string(words.type) else np.int32
+    at = np.frombuffer(at, wide)[words.offset : words.offset + len(words) + 1].astype(np.int64) if len(words) else np.zeros(1, np.int64)
+    length = np.diff(at)
+    total = int(at[-1] - at[0]) + 2 * len(words)
+    marked = np.zeros(total, np.uint64)  # marks are 0, bytes 1 to 256
+    owner = np.repeat(np.arange(len(words)), length + 2)
+    if len(words):
+        place = np.arange(int(at[-1] - at[0])) + np.repeat(2 * np.arange(len(words)) + 1, length)
+        marked[place] = np.frombuffer(data, np.uint8)[at[0] : at[-1]].astype(np.uint64) + np.uint64(1) if data is not None else 0
+    count = max(0, total - n + 1)
+    h = np.zeros(count, np.uint64)
+    for k in range(n):
+        h = h * _STEP + mix(marked[k : k + count] + np.uint64(7))
+    whole = owner[:count] == owner[n - 1 : n - 1 + count]
+    return owner[:count][whole], h[whole]
+
+
+@dataclass
+class Features:
+    """Buckets of some texts' n-grams: those in a row of words as (text, bucket), those inside words by distinct word."""
+
+    rows: list[tuple[np.ndarray, np.ndarray]]
+    doc: np.ndarray  # text of each word
+    word: np.ndarray  # and which distinct word it is
+    owner: np.ndarray  # distinct word of each n-gram inside words
+    bucket: np.ndarray
+    words: np.ndarray  # words of each text
+    kinds: int  # distinct words
+
+    @classmethod
+    def of(cls, texts: pa.Array | list[str | None]) -> Features:
+        rows, kept = [], None
+        for family, signs in ((0, PLAIN), (2, SIGNS)):
+            at, words, n = split_words(texts, signs)
+            doc, h = np.repeat(np.arange(len(n)), n), token_hashes(words)
+            rows.append((doc, _buckets(h, family)[at]))
+            h, same = h[at], doc[1:] == doc[:-1]
+            pair = h[:-1] * _PAIR + h[1:]
+            if family == 0:
+                pair = np.where(h[:-1] == h[1:], _AGAIN, pair)
+            rows.append((doc[1:][same], _buckets(pair, family + 1)[same]))
+            if kept is None:
+                found = [(o, _buckets(g, 4 + k)) for k in INSIDE for o, g in [inside_words(words, k)]]
+                kept = doc, at, np.concatenate([o for o, _ in found]), np.concatenate([b for _, b in found]), n, len(words)
+        return cls(rows, *kept)
+
+    def counts(self, chosen: np.ndarray | None = None) -> np.ndarray:
+        """N-grams of each bucket in all texts, or in the chosen ones."""
+        of = (lambda doc: slice(None)) if chosen is None else (lambda doc: chosen[doc])
+        out = np.bincount(np.concatenate([b[of(d)] for d, b in self.rows]), minlength=1 << LOG_BUCKETS)
+        often = np.bincount(self.word[of(self.doc)], minlength=self.kinds)
+        return out + np.bincount(self.bucket, often[self.owner], 1 << LOG_BUCKETS).astype(np.int64)
+
+    def totals(self, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sum of the ratios of each text's n-grams, and their number."""
+        size = len(self.words)
+        each, n = np.bincount(self.owner, ratio[self.bucket], self.kinds), np.bincount(self.owner, minlength=self.kinds)
+        total, number = np.bincount(self.doc, each[self.word], size), np.bincount(self.doc, n[self.word], size)
+        for doc, bucket in self.rows:
+            total += np.bincount(doc, ratio[bucket], size)
+            number += np.bincount(doc, minlength=size)
+        return total, number
 
 
 def labelled_sample(labels: DataFrame, id_col: str = "doc_id", bound: int = LABELLED) -> DataFrame:
-    """Bounded: doc_id, good (quality 1 and not toxic), part (0 trains, 1 calibrates)."""
+    """Bounded: id, good (quality 1 and not toxic), part (0 calibrates, 1 and 2 train)."""
     mark = F.xxhash64(F.lit(SEED), F.col(id_col))
     per = labels.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).alias("good"))
-    return per.orderBy(mark, id_col).limit(bound).select(F.col(id_col).alias("_id"), F.coalesce("good", F.lit(False)).alias("_good"), F.pmod(mark, F.lit(2)).alias("_part"))
+    return per.orderBy(mark, id_col).limit(bound).select(F.col(id_col).alias("_id"), F.coalesce("good", F.lit(False)).alias("_good"), F.pmod(mark, F.lit(3)).alias("_part"))
 
 
 def _with_label(docs: DataFrame, sample: DataFrame, id_col: str) -> DataFrame:
@@ -111,22 +124,21 @@ def _with_label(docs: DataFrame, sample: DataFrame, id_col: str) -> DataFrame:
     return docs.join(F.broadcast(sample), docs[id_col] == sample["_id"], "left")
 
 
-def train(docs: DataFrame, sample: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Model:
-    """Counts of all text and of the good training half, summed by part of the buckets."""
-    rows = _with_label(docs.select(id_col, text_col), sample, id_col).select(text_col, (F.col("_good") & (F.col("_part") == 0)).alias("_target"))
+def train(docs: DataFrame, sample: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> np.ndarray:
+    """The log ratio of each bucket: target model, from the good training part, over raw model, from all text."""
+    rows = _with_label(docs.select(F.col(id_col).alias("_id_"), F.col(text_col).cast("string").alias("_text")), sample, "_id_").select("_text", (F.col("_good") & (F.col("_part") > 0)).alias("_target"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, _WIDTH), np.int64)
+        counts = np.zeros((2, 1 << LOG_BUCKETS), np.int64)
         for batch in batches:
-            texts, target = batch.column(0).to_pylist(), np.array([bool(x) for x in batch.column(1).to_pylist()])
-            for part in chunks(texts):
-                words, forms, n = features(texts[part])
-                good = np.repeat(target[part], n)
-                for k, at in enumerate((words, forms + (1 << LOG_WORDS))):
-                    counts[0] += np.bincount(at, minlength=_WIDTH)
-                    counts[1] += np.bincount(at[good], minlength=_WIDTH)
-        step = 1 << (LOG_WORDS - LOG_PARTS)
-        some = [(k, counts[:, k * step : (k + 1) * step]) for k in range(-(-_WIDTH // step))]
+            texts, target = batch.column(0), np.array([bool(x) for x in batch.column(1).to_pylist()])
+            for part in chunks(texts, CHUNK):
+                found = Features.of(texts[part])
+                counts[0] += found.counts()
+                if target[part].any():
+                    counts[1] += found.counts(target[part])
+        step = 1 << (LOG_BUCKETS - LOG_PARTS)
+        some = [(k, counts[:, k * step : (k + 1) * step]) for k in range(1 << LOG_PARTS)]
         some = [(k, np.ascontiguousarray(x)) for k, x in some if x.any()]
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in some], pa.int32()), pa.array([_pack(x) for _, x in some], pa.binary())], names=["part", "counts"])
 
@@ -140,11 +152,11 @@ def train(docs: DataFrame, sample: DataFrame, text_col: str = "text", id_col: st
 
     shape = "part int, counts binary"
     summed = rows.mapInArrow(count, shape).repartition(64, "part").mapInArrow(add, shape)
-    step = 1 << (LOG_WORDS - LOG_PARTS)
-    total = np.zeros((2, -(-_WIDTH // step) * step))
-    for row in summed.toLocalIterator():
+    step = 1 << (LOG_BUCKETS - LOG_PARTS)
+    total = np.zeros((2, 1 << LOG_BUCKETS))
+    for row in summed.collect():  # 2**LOG_PARTS rows, 2**(LOG_BUCKETS + 4) bytes together, whatever the input
         total[:, row["part"] * step : (row["part"] + 1) * step] = np.frombuffer(row["counts"], np.int64).reshape(2, -1)
-    return Model(_ratio(*total[:, : 1 << LOG_WORDS]), _ratio(*total[:, 1 << LOG_WORDS : _WIDTH]))
+    return log_ratios(*total)
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -165,36 +177,34 @@ def _unpack(blob: bytes) -> np.ndarray:
     return out
 
 
-def _ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Log of target over raw probability where the counts say so clearly, clipped at 0.
-
-    Clipping keeps the plain words of a long text from outweighing its bad ones.
-    """
+def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log of target over raw probability by bucket; 0 where the counts are too small or too close to tell them apart."""
     expected = raw * (target.sum() / max(1.0, raw.sum()))
-    sure = (expected >= LEAST) & (expected - target >= SIGMA * np.sqrt(expected))
-    return np.where(sure, np.minimum(0.0, np.log((target + SMOOTH) / (expected + SMOOTH))), 0.0)
+    sure = (expected >= LEAST) & (np.abs(expected - target) >= SIGMA * np.sqrt(expected))
+    return np.where(sure, np.log((target + SMOOTH) / (expected + SMOOTH)), 0.0).astype(np.float32)
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with _words, _forms (log ratios over the root of the length) and _n behind its columns."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("_words", T.DoubleType()), T.StructField("_forms", T.DoubleType()), T.StructField("_n", T.LongType())])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**19 and 2**12 doubles, whatever the input
-    at = docs.columns.index(text_col)
+def weights(texts: pa.Array | list[str | None], ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log weight of each text, and its words; a text without n-grams weighs 0."""
+    found = Features.of(texts)
+    total, number = found.totals(ratio)
+    return PER * total / np.maximum(number, 1), found.words
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(at).to_pylist()
-            parts = [shared.value.scores(texts[part]) for part in chunks(texts)]
-            new = [np.concatenate(x) if parts else np.zeros(0) for x in (zip(*parts, strict=True) if parts else ((), (), ()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new[0], pa.float64()), pa.array(new[1], pa.float64()), pa.array(new[2].astype(np.int64), pa.int64())], names=[*batch.schema.names, "_words", "_forms", "_n"])
 
-    return docs.mapInArrow(run, schema)
+def score(docs: DataFrame, ratio: np.ndarray, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """A row per row of ``docs``: id, text_hash, log_weight, n_words."""
+    kind = dict(docs.dtypes)[id_col]
+    shared = docs.sparkSession.sparkContext.broadcast(ratio)  # 2**LOG_BUCKETS floats, whatever the input
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(2)
+            for part in chunks(texts, CHUNK):
+                weight, n = weights(texts[part], shared.value)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[part], batch.column(1)[part], pa.array(weight, pa.float64()), pa.array(n, pa.int64())], names=["id", "text_hash", "log_weight", "n_words"])
 
-def _log_weight(border_words: float, border_forms: float) -> Column:
-    """The worse family, at BORDER where the family's border is; texts without words weigh least."""
-    worse = F.least(F.col("_words") / F.lit(border_words), F.col("_forms") / F.lit(border_forms))
-    return F.when(F.col("_n") == 0, F.lit(4 * BORDER)).otherwise(F.least(F.lit(0.0), worse * F.lit(-BORDER)))
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(run, f"id {kind}, text_hash long, log_weight double, n_words long")
 
 
 def _gumbel(id_col: str) -> Column:
@@ -220,58 +230,47 @@ def top_k_cut(rows: DataFrame, key: str, k: int) -> float:
     return low / float(1 << 32) - 32768.0
 
 
-@dataclass(frozen=True)
-class Classifier:
-    """What keeps a document: the model, both borders and the least key among the k drawn."""
-
-    model: Model
-    border_words: float
-    border_forms: float
-    cut: float
+def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", k: int | None = None) -> DataFrame:
+    """Settled: a row per row of ``docs``: id, text_hash, n_words, log_weight, gumbel_key, kept.
 
-    def weigh(self, scored: DataFrame, id_col: str = "doc_id") -> DataFrame:
-        out = scored.withColumn("log_weight", _log_weight(self.border_words, self.border_forms))
-        out = out.withColumn("gumbel_key", F.col("log_weight") + _gumbel(id_col))
-        return out.withColumn("kept", (F.col("gumbel_key") >= self.cut) & (F.col("_n") > 0))
-
-
-def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> tuple[Classifier, DataFrame]:
-    """The classifier for ``docs``, and the settled scores (id, families, length) it was fitted to.
-
-    k, the number to draw, is the number of documents that weigh more than the
-    border; the noise then only decides among those near it.
+    k, the number of documents drawn: where it is not given, that of documents
+    with words whose log weight reaches the REFUSED quantile of the good labelled
+    documents that did not train the model.
     """
     small_batches(docs.sparkSession)
     sample = settle(labelled_sample(labels, id_col))
-    model = train(docs, sample, text_col, id_col)
-    scored = settle(score(docs.select(id_col, text_col), model, text_col).drop(text_col))
-    good = _with_label(scored, sample, id_col).where(F.col("_good") & (F.col("_part") == 1) & (F.col("_n") > 0))
-    low = good.agg(F.percentile("_words", F.lit(REFUSED)).alias("w"), F.percentile("_forms", F.lit(REFUSED)).alias("f")).first()
-    # a family in which good documents never lose anything still gets a border below 0
-    borders = [min(-0.25, low[x]) if low[x] is not None else -1.0 for x in ("w", "f")]
-    first = Classifier(model, -borders[0], -borders[1], float("-inf"))
-    weighed = first.weigh(scored, id_col)
-    k = weighed.where((F.col("log_weight") > BORDER) & (F.col("_n") > 0)).count()
-    cut = top_k_cut(weighed.where("_n > 0"), "gumbel_key", k) if k else float("inf")
-    return Classifier(model, first.border_words, first.border_forms, cut), scored
-
-
-def importance_classifier(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    scored = settle(score(docs, train(docs, sample, text_col, id_col), text_col, id_col).withColumn("gumbel_key", F.col("log_weight") + _gumbel("id")))
+    drawn = scored.where("n_words > 0")
+    if k is None:
+        good = _with_label(scored, sample, "id").where(F.col("_good") & (F.col("_part") == 0) & (F.col("n_words") > 0))
+        border = good.agg(F.percentile("log_weight", F.lit(REFUSED))).first()[0]
+        k = drawn.where(F.col("log_weight") >= F.lit(float("-inf") if border is None else border)).count()
+    cut = top_k_cut(drawn, "gumbel_key", k) if k else float("inf")
+    return scored.select("id", "text_hash", "n_words", "log_weight", "gumbel_key", ((F.col("gumbel_key") >= cut) & (F.col("n_words") > 0)).alias("kept"))
+
+
+def importance_classifier(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", k: int | None = None) -> DataFrame:
     """One row per row of ``docs``: id, n_words, log_weight, gumbel_key, kept.
 
     Texts without words (null, empty, blank) are not kept.  Without good labels
     all weights are 0 and every text with words is kept.  Labels with a null id
     are ignored; a null id in ``docs`` has no label but is judged as any other;
-    repeated ids share their noise; an empty table gives an empty one.
+    repeated ids share their noise; an empty table gives an empty one; other
+    columns, of whatever name, are not read.  A very long text is held by one
+    worker with its n-grams, some 30 a distinct word of it.
     """
-    found, scored = fit(docs, labels, text_col, id_col)
-    return found.weigh(scored, id_col).select(id_col, F.col("_n").alias("n_words"), "log_weight", "gumbel_key", "kept")
+    return fit(docs, labels, text_col, id_col, k).select(F.col("id").alias(id_col), "n_words", "log_weight", "gumbel_key", "kept")
+
 
+def keep_good(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", k: int | None = None) -> DataFrame:
+    """The rows of ``docs`` that the classifier keeps, all columns unchanged, whatever their names.
 
-def keep_good(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, all columns unchanged."""
-    found, _ = fit(docs, labels, text_col, id_col)
-    return found.weigh(score(docs, found.model, text_col), id_col).where("kept").select(*docs.columns)
+    The rows to drop go by id and hash of the text, so that no text is shuffled
+    while they are few enough to broadcast; repeated rows share their fate.
+    """
+    gone = small(settle(fit(docs, labels, text_col, id_col, k).where("not kept").select(F.col("id").alias("_gone_id"), F.col("text_hash").alias("_gone_text")).distinct()))
+    same = docs[id_col].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs[text_col].cast("string")) == gone["_gone_text"])
+    return docs.join(gone, same, "left_anti")
 
 
 def op10_importance_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
