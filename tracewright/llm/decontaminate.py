@@ -19,8 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import small_batches, table
+from .common import settle, small, small_batches, table
 from .hashing import chunks, mix, plain_hashes
 
 #: Words of a passage and of half a window, latent dimensions, extra columns and rounds of the randomised SVD.
@@ -33,6 +34,8 @@ IDF_LEAST, IDF_CAP = 0.1, 4.0
 COSINE, COMMON, ANSWER, ENOUGH = 0.28, 0.6, 0.5, 0.8
 #: Items taken at once, so few that RANK keeps nearly all that sets them apart; items of fewer words must appear whole and unbroken.
 BLOCK, SHORT = 250, 8
+#: Passages that share a bound.
+GROUP = 16
 #: Bits of the table that most runs of words are ruled out by.
 LOG_RUNS = 20
 _RUN = np.uint64(0x9E3779B97F4A7C15)
@@ -45,7 +48,7 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, in
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, rows = np.zeros(1 << LOG_CELLS, np.int32), 0
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            texts = batch.column(0)
             rows += len(texts)
             for part in chunks(texts):
                 cells += np.bincount(_cells(plain_hashes(texts[part], distinct=True)[0]), minlength=1 << LOG_CELLS).astype(np.int32)
@@ -64,7 +67,7 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, in
 
     out, rows = np.zeros(1 << LOG_CELLS, np.int64), 0
     shape = "part int, cells binary"
-    for row in docs.select(text_col).mapInArrow(count, shape).repartition(64, "part").mapInArrow(add, shape).toLocalIterator():
+    for row in docs.select(text_col).mapInArrow(count, shape).repartition(64, "part").mapInArrow(add, shape).collect():  # 2**LOG_PARTS rows
         x = np.frombuffer(row["cells"], np.int64)
         if row["part"] < 0:
             rows += int(x[0])
@@ -128,7 +131,7 @@ def randomized_svd(spark: SparkSession, passages: list[tuple[np.ndarray, np.ndar
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["k", "y"])
 
         y = np.zeros((len(passages), columns))
-        for row in rows.mapInArrow(run, "k int, y binary").toLocalIterator():
+        for row in rows.mapInArrow(run, "k int, y binary").collect():
             y[row["k"]] = np.frombuffer(row["y"])
         return y
 
@@ -144,7 +147,7 @@ def randomized_svd(spark: SparkSession, passages: list[tuple[np.ndarray, np.ndar
             yield pa.RecordBatch.from_arrays([pa.array([z.tobytes()], pa.binary())], names=["z"])
 
         z = np.zeros((len(vocabulary), columns))
-        for row in rows.mapInArrow(run, "z binary").toLocalIterator():
+        for row in rows.mapInArrow(run, "z binary").collect():
             z += np.frombuffer(row["z"]).reshape(z.shape)
         return z
 
@@ -182,10 +185,12 @@ class Index:
     idf: np.ndarray
     vocabulary: np.ndarray
     gains: np.ndarray  # what a word adds to the inner product with each passage, in latent space
-    most: np.ndarray  # the most that a word adds for any passage
+    bounds: np.ndarray  # the most that a word adds for any passage of each group of GROUP
+    most: np.ndarray  # and for any passage at all
     owner: np.ndarray  # item of each passage
     items: list[tuple[int, list[int], list[int]]]  # id, words, words of the answer
-    sorted_words: list[np.ndarray]  # of each item
+    sorted_words: list[np.ndarray]  # of each item and its answer
+    word_counts: list[np.ndarray]  # of each of them, how often the item has it
     runs: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]  # by length: table of the hashes' top bits, hashes in order, item of each
 
     def shared_runs(self, tokens: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,6 +206,28 @@ class Index:
             owners.append(items[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())])
         return np.concatenate(places), np.concatenate(owners)
 
+    @staticmethod
+    def _sums(gains, known, piece, word, hopeful, two, total) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of the known words' gains by piece of the hopeful windows, and the row of each piece; the last row is 0."""
+        need = np.zeros(total + 1, bool)
+        need[hopeful] = True
+        need[hopeful[two[hopeful]] + 1] = True
+        take = np.flatnonzero(known & need[piece])
+        at = piece[take]
+        cuts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, np.int64)
+        row = np.full(total + 1, -1)
+        row[at[cuts]] = np.arange(len(cuts))
+        sums = np.add.reduceat(gains[word[take]], cuts, axis=0) if len(at) else np.zeros((0, gains.shape[1]), np.float32)
+        return np.vstack([sums, np.zeros((1, gains.shape[1]), np.float32)]), row
+
+    @staticmethod
+    def _windows(sums, row, hopeful, two) -> np.ndarray:
+        """The sums of windows of two pieces, or of a text's last piece alone."""
+        out = sums[row[hopeful]]
+        pairs = np.flatnonzero(two[hopeful])
+        out[pairs] += sums[row[hopeful[pairs] + 1]]
+        return out
+
     def search(self, texts: list[str | None]) -> list[tuple[int, int, float, float, float]]:
         """(text, item, cosine, common part, common part of the answer) of every leak."""
         tokens, n = plain_hashes(texts)
@@ -222,26 +249,20 @@ class Index:
         of = np.repeat(np.arange(len(n)), pieces)
         two = np.r_[of[1:] == of[:-1], False]  # the piece and the next are one text's
         all2, most = all2[:-1] + np.where(two, all2[1:], 0), most[:-1] + np.where(two, most[1:], 0)
-        # no passage gains more from a window than the most that any gains from each word: the bound loses no candidate
-        hopeful = np.flatnonzero((most > 0) & (most >= COSINE * np.sqrt(all2)))
+        # no passage gains more from a window than the most that any gains from each word, and no passage of a group
+        # more than the most that one of the group gains: the bounds lose no candidate
+        norm = np.sqrt(all2)
+        hopeful = np.flatnonzero((most > 0) & (most >= COSINE * norm))
+        if len(hopeful):
+            sums, row = self._sums(self.bounds, known, piece, word, hopeful, two, total)
+            hopeful = hopeful[(self._windows(sums, row, hopeful, two) >= (COSINE * norm[hopeful])[:, None]).any(axis=1)]
         places, owners = self.shared_runs(tokens, doc)
         run_pieces, run_items = np.divmod(np.unique(piece[places] * len(self.items) + owners), len(self.items))
         hopeful = np.union1d(hopeful, run_pieces)
         if len(hopeful):
-            need = np.zeros(total + 1, bool)
-            need[hopeful] = True
-            need[hopeful[two[hopeful]] + 1] = True
-            take = np.flatnonzero(known & need[piece])
-            at = piece[take]
-            cuts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-            sums = np.add.reduceat(self.gains[word[take]], cuts, axis=0)
-            row = np.full(total + 1, -1)
-            row[at[cuts]] = np.arange(len(cuts))
-            sums = np.vstack([sums, np.zeros((1, sums.shape[1]), np.float32)])
-            cosine = sums[row[hopeful]]
-            pairs = np.flatnonzero(two[hopeful])
-            cosine[pairs] += sums[row[hopeful[pairs] + 1]]
-            cosine /= np.sqrt(all2[hopeful]).astype(np.float32)[:, None]
+            sums, row = self._sums(self.gains, known, piece, word, hopeful, two, total)
+            cosine = self._windows(sums, row, hopeful, two)
+            cosine /= norm[hopeful].astype(np.float32)[:, None]
             rows, passages = np.nonzero(cosine >= COSINE)
             seeds = [(i, k + int(cosine[i, k:end].argmax())) for i, k, end in zip(np.searchsorted(hopeful, run_pieces), *(np.searchsorted(self.owner, run_items, side) for side in ("left", "right")), strict=True)]
             for i, j in [*zip(rows, passages, strict=True), *(x for x in seeds if cosine[x] < COSINE)]:
@@ -254,9 +275,11 @@ class Index:
                 lo, hi = max(start[d], a - len(words)), min(start[d] + n[d], a + 2 * STRIDE + len(words))
                 region = tokens[lo:hi]
                 own = self.sorted_words[item]
-                region = region[own[np.minimum(np.searchsorted(own, region), len(own) - 1)] == region]
-                if len(region) < COMMON * len(words):  # a bound on what is in common order
+                place = np.minimum(np.searchsorted(own, region), len(own) - 1)
+                mine = own[place] == region
+                if np.minimum(np.bincount(place[mine], minlength=len(own)), self.word_counts[item]).sum() < COMMON * len(words):  # a bound on what is in common order
                     continue
+                region = region[mine]
                 region = region.tolist()
                 common = common_length(words, region) / len(words)
                 if common < COMMON or (d, item) in out and out[d, item][1] >= common:
@@ -298,6 +321,8 @@ def build_index(spark: SparkSession, items: list[tuple[int, str, str | None]], i
     norms = np.linalg.norm(latent, axis=1, keepdims=True)
     # folding a window in is linear, so its words' products with the unit passages can be added up instead
     gains = (vectors * idf[_cells(vocabulary)][:, None]) @ (latent / np.maximum(norms, 1e-9)).T
+    groups = range(0, gains.shape[1], GROUP)
+    bounds = np.stack([gains[:, k : k + GROUP].max(axis=1) for k in groups], axis=1) if len(groups) and len(gains) else np.zeros((len(gains), 1))
     most = gains.max(axis=1, initial=0).clip(0).astype(np.float64)
     runs = []
     for length in sorted({min(SHORT, len(words)) for _, words, _ in known}):
@@ -307,7 +332,9 @@ def build_index(spark: SparkSession, items: list[tuple[int, str, str | None]], i
         table = np.zeros(1 << LOG_RUNS, bool)
         table[hashes >> np.uint64(64 - LOG_RUNS)] = True
         runs.append((length, table, hashes[order], items_of[order]))
-    return Index(idf, vocabulary, np.ascontiguousarray(gains, np.float32), most, np.array(owner, np.int64), known, [np.array(sorted({*words, *last}), np.uint64) for _, words, last in known], runs)
+    sorted_words = [np.array(sorted({*words, *last}), np.uint64) for _, words, last in known]
+    counts = [np.bincount(np.searchsorted(own, np.array(words, np.uint64)), minlength=len(own)) for own, (_, words, _) in zip(sorted_words, known, strict=True)]
+    return Index(idf, vocabulary, np.ascontiguousarray(gains, np.float32), np.ascontiguousarray(bounds + 1e-6, np.float32), most, np.array(owner, np.int64), known, sorted_words, counts, runs)
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, answer_col: str | None) -> Iterator[list[tuple[int, str, str | None]]]:
@@ -324,63 +351,67 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, answer_col: str
         yield block
 
 
-def _indexes(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str, answer_col: str | None):
-    small_batches(docs.sparkSession)
-    frequencies, documents = document_frequencies(docs, text_col)
-    idf = idf_table(frequencies, documents)
-    for block in _blocks(benchmark, item_col, item_text_col, answer_col):
-        yield docs.sparkSession.sparkContext.broadcast(build_index(docs.sparkSession, block, idf))
-
-
-def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text_col: str = "text", answer_col: str | None = None) -> DataFrame:
-    """One row per document and item it leaks: doc_id, item_id, cosine, common, answer.
+def _found(docs: DataFrame, benchmark: DataFrame, text_col: str, id_col: str, item_col: str, item_text_col: str, answer_col: str | None) -> DataFrame | None:
+    """Settled: id, text_hash, item_id, cosine, common, answer of every leak; None without items.
 
-    Null and empty texts leak nothing and are no items.  Repeated rows give one
-    row together; a null doc_id is an id of its own; no items or no documents give
-    no rows.  Ties between windows keep the better common part.
+    One block of items is searched after the other, so that one index lives at a time.
     """
-    kind, item_kind = docs.schema[id_col].dataType, benchmark.schema[item_col].dataType
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("item_id", item_kind), *[T.StructField(x, T.DoubleType()) for x in ("cosine", "common", "answer")]])
-    ids, items = T.StructField("x", kind), T.StructField("x", item_kind)
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    arrow = pa.schema([("doc_id", to_arrow_type(ids.dataType)), ("item_id", to_arrow_type(items.dataType)), ("cosine", pa.float64()), ("common", pa.float64()), ("answer", pa.float64())])
-    out = None
-    for shared in _indexes(docs, benchmark, text_col, item_col, item_text_col, answer_col):
+    spark = docs.sparkSession
+    small_batches(spark)
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    kinds = [docs.schema[id_col].dataType, T.LongType(), benchmark.schema[item_col].dataType, *[T.DoubleType()] * 3]
+    names = ["id", "text_hash", "item_id", "cosine", "common", "answer"]
+    schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)])
+    item_type = to_arrow_type(kinds[2])
+    idf, out = None, None
+    for block in _blocks(benchmark, item_col, item_text_col, answer_col):
+        if idf is None:
+            idf = idf_table(*document_frequencies(rows, "text"))
+        shared = spark.sparkContext.broadcast(build_index(spark, block, idf))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                names, texts = batch.column(0), batch.column(1).to_pylist()
+                texts = batch.column(2)
                 for part in chunks(texts, 1 << 19):
                     found = shared.value.search(texts[part])
-                    rows = [names[part.start + d].as_py() for d, *_ in found]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([rows, *([x[k] for x in found] for k in range(1, 5))], arrow.types, strict=True)], schema=arrow)
+                    at = pa.array([part.start + d for d, *_ in found], pa.int64())
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array([x[1] for x in found], item_type), *(pa.array([x[k] for x in found], pa.float64()) for k in (2, 3, 4))], names=names)
 
-        part = docs.select(id_col, text_col).mapInArrow(run, schema)
+        part = settle(rows.mapInArrow(run, schema))
+        shared.unpersist()
         out = part if out is None else out.unionByName(part)
+    return out
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text_col: str = "text", answer_col: str | None = None) -> DataFrame:
+    """One row per document and item it leaks: doc_id, item_id, cosine, common, answer.
+
+    Null and empty texts leak nothing and are no items.  Repeated rows give one
+    row together; a null doc_id is an id of its own; no items or no documents give
+    no rows.  Ties between windows keep the better common part.  Other columns, of
+    whatever name, are not read.  A very long text is held by one worker with its
+    words, some 60 bytes each.
+    """
+    out = _found(docs, benchmark, text_col, id_col, item_col, item_text_col, answer_col)
     if out is None:
-        return docs.sparkSession.createDataFrame([], schema)
-    best = out.groupBy("doc_id", "item_id").agg(F.max(F.struct("common", "cosine", "answer")).alias("x"))
+        shape = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("item_id", benchmark.schema[item_col].dataType), *[T.StructField(x, T.DoubleType()) for x in ("cosine", "common", "answer")]])
+        return docs.sparkSession.createDataFrame([], shape)
+    best = out.groupBy(F.col("id").alias("doc_id"), "item_id").agg(F.max(F.struct("common", "cosine", "answer")).alias("x"))
     return best.select("doc_id", "item_id", *[F.col(f"x.{c}").alias(c) for c in ("cosine", "common", "answer")])
 
 
-def drop_leaking(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", answer_col: str | None = None) -> DataFrame:
-    """The rows of ``docs`` that leak no item, all columns unchanged."""
-    out = docs
-    at = docs.columns.index(text_col)
-    for shared in list(_indexes(docs, benchmark, text_col, item_col, item_text_col, answer_col)):
+def drop_leaking(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text_col: str = "text", answer_col: str | None = None) -> DataFrame:
+    """The rows of ``docs`` that leak no item, all columns unchanged, whatever their names.
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = batch.column(at).to_pylist()
-                keep = np.ones(len(texts), bool)
-                for part in chunks(texts, 1 << 19):
-                    for d, *_ in shared.value.search(texts[part]):
-                        keep[part.start + d] = False
-                yield batch.filter(pa.array(keep))
-
-        out = out.mapInArrow(run, docs.schema)
-    return out
+    The rows to drop go by id and hash of the text, so that no text is shuffled
+    while they are few enough to broadcast.
+    """
+    out = _found(docs, benchmark, text_col, id_col, item_col, item_text_col, answer_col)
+    if out is None:
+        return docs
+    gone = small(settle(out.select(F.col("id").alias("_gone_id"), F.col("text_hash").alias("_gone_text")).distinct()))
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs[text_col].cast("string")) == gone["_gone_text"]), "left_anti")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
