@@ -6,23 +6,27 @@ level again.  A filter is sized from the keys counted to fill it, which are thos
 all training text, and cut into slices by key range, so that a worker holds one
 slice at a time whatever the input.  The exact unigram base beside it uses a
 broadcast head of frequent words and a join for all the others.
+
+The score interpolates bigrams with unigrams.  What bigrams weigh depends on the
+level of the word before: Witten-Bell over all contexts of a level, tokens after
+them against distinct bigrams of them, so that the chances of all words after a
+context sum to 1 but for what the levels round.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import settle, small_batches, table
-from .hashing import Bloom, chunks, mix, put_keys, token_hashes
+from .hashing import Bloom, chunks, mix, put_keys, split_words, token_hashes
 
 #: The end of a text, a token of its own, and what stands before the first word; no word has a space in it.
 END, START = b" end", b" start"
@@ -30,12 +34,12 @@ END, START = b" end", b" start"
 BASE, HASHES, LOG_PARTS = 1.5, 3, 8
 #: Part of a filter's bits that its keys set at most, least bits of a part, bits of the slice that a worker holds.
 FILL, LOG_LEAST, LOG_SLICE = 1 / 3, 14, 28
-#: Bigrams seen less often are not stored: none; most words in the head.
-LEAST_BIGRAM, HEAD = 1, 300_000
+#: Most words in the head.
+HEAD = 300_000
 #: What a counting worker holds before it passes it on: words, bigrams.
-HELD_WORDS, HELD_BIGRAMS = 300_000, 3_000_000
-#: Words that a scoring worker remembers.
-REMEMBERED = 300_000
+HELD_WORDS, HELD_BIGRAMS = 600_000, 3_000_000
+#: Low bits of a bigram key that give way to the level of its context on the way.
+_LEVEL_BITS = 7
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -138,7 +142,7 @@ def slice_filter(parts: DataFrame, log_parts: int, keys: int) -> Sliced:
     held, step, ones, slices = 1 << (log_parts - cut), 1 << (width - 3), 0, []
     for k in range(1 << cut):
         bits = np.zeros(held * step, np.uint8)
-        for row in parts.where(F.col("part").between(k * held, (k + 1) * held - 1)).toLocalIterator():
+        for row in parts.where(F.col("part").between(k * held, (k + 1) * held - 1)).collect():  # a slice at a time, at twice its width
             at = (row["part"] - k * held) * step
             bits[at : at + step] = np.bitwise_or.reduce(np.frombuffer(row["bits"], np.uint8).reshape(-1, step), axis=0)
         ones += int(np.bitwise_count(bits).sum(dtype=np.int64))
@@ -151,17 +155,6 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
-def _words(texts: list[str | None]) -> tuple[list[bytes], np.ndarray]:
-    flat: list[bytes] = []
-    n = np.zeros(len(texts), np.int64)
-    for k, text in enumerate(texts):
-        if text:
-            words = text.encode("utf-8", "surrogatepass").lower().split()
-            flat += words
-            n[k] = len(words)
-    return flat, n
-
-
 def _with_ends(tokens: np.ndarray, n: np.ndarray, end, start) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens with an end after every text, what stands before each, and the text of each."""
     doc = np.repeat(np.arange(len(n)), n + 1)
@@ -184,107 +177,128 @@ def count_words(train: DataFrame, text_col: str) -> DataFrame:
     """Settled: every training word and its count; ends are not words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
+        held: list[pa.Table] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                counts = pa.concat_tables(held).group_by("token").aggregate([("c", "sum")])
+                held.clear()
+                yield from pa.table({"token": counts["token"], "c": counts["c_sum"]}).to_batches()
+
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            texts = batch.column(0)
             for part in chunks(texts):
-                held.update(_words(texts[part])[0])
-                if len(held) > HELD_WORDS:
-                    yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())], names=["token", "c"])
-                    held = Counter()
-        yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())], names=["token", "c"])
+                at, words, _ = split_words(texts[part])
+                held.append(pa.table({"token": words.cast(pa.binary()), "c": pa.array(np.bincount(at, minlength=len(words)), pa.int64())}))
+                if sum(x.num_rows for x in held) > HELD_WORDS:
+                    yield from flush()
+        yield from flush()
 
     return settle(train.select(text_col).mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c")))
 
 
-def bigram_filter(train: DataFrame, text_col: str, tokens: int) -> tuple[Sliced, float]:
-    """The filter of all bigrams seen LEAST_BIGRAM times or more in the training text, and their weight.
+def _log_ranges(tokens: int) -> int:
+    """Ranges that bigrams of so many tokens travel in, as a power of two."""
+    return LOG_PARTS + max(0, int(np.ceil(np.log2(max(1, tokens) / (1 << 28)))))
+
+
+def truncated(keys: np.ndarray, tokens: int) -> np.ndarray:
+    """Bigram keys as the filter knows them: the bits that travel."""
+    spare = np.uint64(max(_LEVEL_BITS, 24 - _log_ranges(tokens)))
+    return (keys >> spare) << spare
+
 
-    The weight is the part of all training tokens that end a stored bigram, less
-    one for each: what bigrams are likely to explain of new text.
+def bigram_filter(train: DataFrame, text_col: str, tokens: int, unigrams: Sliced) -> tuple[Sliced, np.ndarray]:
+    """The filter of all bigrams of the training text, and what bigrams weigh by the level of their context.
 
     Bigrams travel as packed arrays by range of their hash, 40 bits each beside
-    the range, so that counting them all moves little more than 5 bytes a
-    distinct bigram; the ranges grow in number with the tokens.
+    the range and a byte for the level, so that counting them all moves little
+    more than 6 bytes a distinct bigram; the ranges grow in number with the tokens.
     """
-    log_ranges = LOG_PARTS + max(0, int(np.ceil(np.log2(max(1, tokens) / (1 << 28)))))
-    low, least = np.uint64(64 - log_ranges), LOG_LEAST
+    log_ranges = _log_ranges(tokens)
+    low, least, mask = np.uint64(64 - log_ranges), LOG_LEAST, np.uint64((1 << _LEVEL_BITS) - 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            keys = np.concatenate(held) if held else np.zeros(0, np.uint64)
             held.clear()
+            keys.sort()
+            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+            n, keys = np.diff(np.r_[starts, len(keys)]), keys[starts]
             ranges = (keys >> low).astype(np.int64)
             cuts = np.flatnonzero(np.r_[True, ranges[1:] != ranges[:-1]]) if len(keys) else np.zeros(0, np.int64)
             rest = ((keys << np.uint64(log_ranges)) >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-            blobs, more = [], []
+            context = (keys & mask).astype(np.uint8)
+            blobs, more, levels = [], [], []
             for a, b in zip(cuts, np.append(cuts, len(keys))[1:], strict=True):
                 blobs.append(np.ascontiguousarray(rest[a:b]).tobytes())
+                levels.append(context[a:b].tobytes())
                 often = np.flatnonzero(n[a:b] > 1)
                 more.append(np.r_[often, n[a:b][often]].astype(np.int32).tobytes())
-            return pa.RecordBatch.from_arrays([pa.array(ranges[cuts], pa.int64()), pa.array(blobs, pa.binary()), pa.array(more, pa.binary())], names=["r", "keys", "more"])
+            return pa.RecordBatch.from_arrays([pa.array(ranges[cuts], pa.int64()), *(pa.array(x, pa.binary()) for x in (blobs, more, levels))], names=["r", "keys", "more", "levels"])
 
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            texts = batch.column(0)
             for part in chunks(texts):
-                flat, n = _words(texts[part])
-                now, before, _ = _with_ends(token_hashes(flat), n, *token_hashes([END, START]))
-                held.append(bigram_keys(before, now))
+                at, words, n = split_words(texts[part])
+                h = np.concatenate([token_hashes([END, START]), token_hashes(words)])
+                now, before, _ = _with_ends(at + 2, n, 0, 1)
+                keys = truncated(bigram_keys(h[before], h[now]), tokens)
+                held.append(keys | unigrams.levels(mix(h)).astype(np.uint64)[before])
                 if sum(map(len, held)) > HELD_BIGRAMS:
                     yield flush()
         yield flush()
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        range_, keys, counts = None, [], []
+        range_, held = None, []
 
         def close() -> Iterator[pa.RecordBatch]:
-            if not keys:
+            if not held:
                 return
-            k, c = np.concatenate(keys), np.concatenate(counts)
+            k, c, q = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.argsort(k, kind="stable")
-            k, c = k[order], c[order]
+            k, c, q = k[order], c[order], q[order]
             starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-            k, c = k[starts], np.add.reduceat(c, starts)
-            often = c >= LEAST_BIGRAM
-            expanded, bits = _expand(k[often], c[often], log_ranges), {}
+            k, c, q = k[starts], np.add.reduceat(c, starts), q[starts]
+            expanded, bits = _expand(k, c, log_ranges), {}
             width = log_width(len(expanded), least) + 1
             put_keys(bits, expanded, width, log_ranges, HASHES)
+            after, kinds = (np.bincount(q, x, len(MEANS)).astype(np.int64).tolist() for x in (c, None))
             for part, blob in bits.items():
-                columns = [[part], [width], [blob.tobytes()], [int((c[often] - 1).sum())], [len(expanded)]]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["part", "width", "bits", "mass", "n"])
+                columns = [[part], [width], [blob.tobytes()], [len(expanded)], [after], [kinds]]
+                kind = pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int32(), pa.binary(), pa.int64(), kind, kind), strict=True)], names=["part", "width", "bits", "n", "after", "kinds"])
 
         for batch in batches:
-            for r, blob, more in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for r, blob, more, context in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if r != range_:
                     yield from close()
-                    range_, keys, counts = r, [], []
+                    range_, held = r, []
                 packed = np.zeros((len(blob) // 5, 8), np.uint8)
                 packed[:, :5] = np.frombuffer(blob, np.uint8).reshape(-1, 5)
-                keys.append(((packed.view("<u8")[:, 0] << np.uint64(24)) >> np.uint64(log_ranges)) | (np.uint64(r) << low))
-                n = np.ones(len(blob) // 5, np.int64)
+                keys = ((packed.view("<u8")[:, 0] << np.uint64(24)) >> np.uint64(log_ranges)) | (np.uint64(r) << low)
+                n = np.ones(len(keys), np.int64)
                 at, many = np.frombuffer(more, np.int32).reshape(2, -1)
                 n[at] = many
-                counts.append(n)
+                held.append((truncated(keys, tokens), n, np.frombuffer(context, np.uint8)))
         yield from close()
 
-    counted = train.select(text_col).mapInArrow(count, "r long, keys binary, more binary")
-    built = settle(counted.repartition("r").sortWithinPartitions("r").mapInArrow(put, "part long, width int, bits binary, mass long, n long"))
-    mass, stored = built.agg(F.coalesce(F.sum("mass"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    return slice_filter(built, log_ranges, stored), min(0.9, mass / max(1, tokens))
-
-
-def truncated(keys: np.ndarray, tokens: int) -> np.ndarray:
-    """Bigram keys as the filter knows them: the bits that travelled."""
-    spare = np.uint64(max(0, 24 - LOG_PARTS - max(0, int(np.ceil(np.log2(max(1, tokens) / (1 << 28)))))))
-    return (keys >> spare) << spare
+    counted = train.select(text_col).mapInArrow(count, "r long, keys binary, more binary, levels binary")
+    built = settle(counted.repartition("r").sortWithinPartitions("r").mapInArrow(put, "part long, width int, bits binary, n long, after array<long>, kinds array<long>"))
+    stored = built.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    sums = built.select(F.posexplode(F.arrays_zip("after", "kinds")).alias("q", "x")).groupBy("q").agg(F.sum("x.after").alias("after"), F.sum("x.kinds").alias("kinds"))
+    weight = np.zeros(len(MEANS))
+    for r in sums.where("kinds > 0 and q > 0").collect():  # a row a level
+        weight[r["q"]] = r["after"] / (r["after"] + r["kinds"])
+    return slice_filter(built, log_ranges, stored), weight
 
 
 def unigram_filter(vocabulary: DataFrame, end_count: int) -> Sliced:
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(mix(token_hashes(batch.column(0).to_pylist())).view(np.int64)), batch.column(1)], names=["h", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(mix(token_hashes(batch.column(0))).view(np.int64)), batch.column(1)], names=["h", "c"])
 
     ends = vocabulary.sparkSession.createDataFrame([(bytearray(END), end_count), (bytearray(START), end_count)], "token binary, c long").where("c > 0")
     words = vocabulary.unionByName(ends)
@@ -304,8 +318,8 @@ def unigram_filter(vocabulary: DataFrame, end_count: int) -> Sliced:
     return slice_filter(settle(dealt.mapInArrow(put, "part long, width int, bits binary")), LOG_PARTS, int(levels))
 
 
-def _head(vocabulary: DataFrame) -> dict[bytes, int]:
-    """The most frequent words, HEAD at most: all those from some count up."""
+def _head(vocabulary: DataFrame) -> tuple[pa.Array, np.ndarray]:
+    """The most frequent words, HEAD at most, and their counts: all those from some count up."""
     step = F.floor(F.log2("c") * 4).cast("int")
     sizes = sorted(vocabulary.groupBy(step.alias("s")).count().collect(), reverse=True)  # 256 rows at most
     total, least = 0, None
@@ -314,40 +328,10 @@ def _head(vocabulary: DataFrame) -> dict[bytes, int]:
             break
         least = s
     if least is None:
-        return {}
-    return {bytes(r["token"]): r["c"] for r in vocabulary.where(step >= least).toLocalIterator()}
-
-
-class _Words(dict):
-    """Numbers of words; what a scoring worker knows of a word lies in arrays by number, the end and start at 0 and 1."""
-
-    def __init__(self, head: dict[bytes, int], unigrams: Sliced):
-        super().__init__()
-        self.head, self.unigrams = head, unigrams
-        self.forget()
-
-    def __missing__(self, word: bytes) -> int:
-        self.fresh.append(word)
-        number = self[word] = self.known + len(self.fresh) - 1
-        return number
-
-    def forget(self) -> None:
-        self.clear()
-        self.fresh, self.known = [], 0
-        self.hashes, self.counts, self.means = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
-        self.numbers([END, START])
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        """The words' numbers; new words are hashed, looked up in the head and probed together."""
-        out = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if self.fresh:
-            h = np.fromiter(map(xxhash.xxh3_64_intdigest, self.fresh), np.uint64, len(self.fresh))
-            self.hashes = np.concatenate([self.hashes, h])
-            self.counts = np.concatenate([self.counts, np.array([self.head.get(w, 0) for w in self.fresh], np.int64)])
-            self.means = np.concatenate([self.means, MEANS[self.unigrams.levels(mix(h))]])
-            self.known += len(self.fresh)
-            self.fresh = []
-        return out
+        return pa.array([], pa.binary()), np.zeros(0, np.int64)
+    rows = vocabulary.where(step >= least).toArrow().combine_chunks()
+    words = rows["token"].cast(pa.binary())
+    return (words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words), rows["c"].to_numpy()
 
 
 def lm_score(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -357,7 +341,9 @@ def lm_score(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
     under exact add-half unigrams; score: under bigrams interpolated
     with unigrams, counts from the filters.  A null or empty text is one token, its end; a null
     id is never held out; repeated rows count and score each; without training
-    rows every token is unknown; an empty table gives an empty one.
+    rows every token is unknown; an empty table gives an empty one; other
+    columns, of whatever name, are not read.  A very long text is held by one
+    worker with its bigrams, some 30 bytes a word.
     """
     small_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
@@ -368,44 +354,43 @@ def lm_score(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
     tokens, kinds = words + ends, kinds + (ends > 0)
     below = tokens + 0.5 * (kinds + 1)
     shared = context.broadcast(_head(vocabulary))
-    unigrams, (bigrams, weight) = unigram_filter(vocabulary, ends), bigram_filter(train, text_col, tokens)
+    unigrams = unigram_filter(vocabulary, ends)
+    bigrams, weight = bigram_filter(train, text_col, tokens, unigrams)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_words = _Words(shared.value, unigrams)
+        head, head_counts = shared.value
+        head_counts = np.append(head_counts, 0)
         for batch in batches:
-            texts = batch.column(2).to_pylist()
+            texts = batch.column(2)
             waiting, columns = [], []  # bigrams of the whole batch are probed together, so that a slice is read once for them
             for part in chunks(texts):
-                if len(known_words) > REMEMBERED:
-                    known_words.forget()
-                flat, n = _words(texts[part])
-                size = len(n)
+                at, words, n = split_words(texts[part])
+                words, size = words.cast(pa.binary()), len(n)
                 doc = np.repeat(np.arange(size), n)
-                number = known_words.numbers(flat)
-                c = known_words.counts[number]
-                base = np.bincount(doc, np.where(c > 0, np.log10((c + 0.5) / below), 0.0), size) + np.log10((ends + 0.5) / below)
-                known = np.bincount(doc, c > 0, size).astype(np.int64) + (ends > 0)
-                tails: list[Counter] = [Counter() for _ in range(size)]
-                rare = np.flatnonzero(c == 0)
-                for k, d in zip(rare.tolist(), doc[rare].tolist(), strict=True):
-                    tails[d][flat[k]] += 1
-
-                now, before, at = _with_ends(number, n, 0, 1)
-                c_now, c_before = known_words.means[now], known_words.means[before]
-                keys = bigram_keys(known_words.hashes[before], known_words.hashes[now])
-                waiting.append((truncated(keys, tokens), c_now.astype(np.float32), c_before.astype(np.float32), at.astype(np.int32)))
-                offsets = np.cumsum([0, *map(len, tails)]).astype(np.int32)
-                values = pa.StructArray.from_arrays(
-                    [pa.array([w for t in tails for w in t], pa.binary()), pa.array([x for t in tails for x in t.values()], pa.int64())], names=["token", "tf"]
-                )
-                columns.append((part, pa.array(n + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.ListArray.from_arrays(pa.array(offsets), values)))
-            levels = bigrams.levels(np.concatenate([w[0] for w in waiting])) if waiting else np.zeros(0, np.int64)
+                counts = head_counts[pc.fill_null(pc.index_in(words, value_set=head), -1).to_numpy(zero_copy_only=False)]
+                each = np.where(counts > 0, np.log10((counts + 0.5) / below), 0.0)
+                base = np.bincount(doc, each[at], size) + np.log10((ends + 0.5) / below)
+                known = np.bincount(doc, counts[at] > 0, size).astype(np.int64) + (ends > 0)
+                rare = np.flatnonzero(counts[at] == 0)
+                key = doc[rare] * len(words) + at[rare]
+                key.sort()
+                starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+                often, (of, which) = np.diff(np.r_[starts, len(key)]), np.divmod(key[starts], max(1, len(words)))
+                offsets = np.r_[0, np.cumsum(np.bincount(of, minlength=size))].astype(np.int32)
+                tail = pa.StructArray.from_arrays([words.take(pa.array(which)), pa.array(often, pa.int64())], names=["token", "tf"])
+                columns.append((part, pa.array(n + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.ListArray.from_arrays(pa.array(offsets), tail)))
+
+                h = np.concatenate([token_hashes([END, START]), token_hashes(words)])
+                levels = unigrams.levels(mix(h)).astype(np.uint8)
+                now, before, of = _with_ends(at + 2, n, 0, 1)
+                waiting.append((truncated(bigram_keys(h[before], h[now]), tokens), levels[now], levels[before], of.astype(np.int32)))
+            found = bigrams.levels(np.concatenate([w[0] for w in waiting])) if waiting else np.zeros(0, np.int64)
             ends_at = np.cumsum([len(w[0]) for w in waiting])
-            for (part, n, known, base, tail), (keys, c_now, c_before, at), end in zip(columns, waiting, ends_at, strict=True):
-                c_now, c_before = c_now.astype(np.float64), c_before.astype(np.float64)
-                pair = np.minimum(MEANS[levels[end - len(keys) : end]], np.minimum(c_now, c_before))
-                chance = weight * pair / np.maximum(c_before, 1) + (1 - weight) * (c_now + 0.5) / below
-                score = np.bincount(at, np.log10(chance), len(n))
+            for (part, n, known, base, tail), (keys, now, before, of), end in zip(columns, waiting, ends_at, strict=True):
+                c_now, c_before = MEANS[now], MEANS[before]
+                pair = np.minimum(MEANS[found[end - len(keys) : end]], np.minimum(c_now, c_before))
+                chance = weight[before] * pair / np.maximum(c_before, 1) + (1 - weight[before]) * (c_now + 0.5) / below
+                score = np.bincount(of, np.log10(chance), len(n))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[part], batch.column(1)[part], n, known, base, pa.array(score), tail],
                     names=["doc_id", "held_out", "n_tokens", "known", "base", "score", "tail"],
@@ -413,7 +398,7 @@ def lm_score(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
 
     kind = dict(docs.dtypes)[id_col]
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, score double, tail array<struct<token: binary, tf: long>>"
-    scored = settle(docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), text_col).mapInArrow(run, schema))
+    scored = settle(docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema))
     scored = scored.withColumn("_row", F.monotonically_increasing_id())  # over settled rows, so the same each time
     rare = scored.select("_row", F.explode("tail").alias("t")).select("_row", "t.token", "t.tf")
     found = rare.join(vocabulary, "token", "left").withColumn("c", F.coalesce("c", F.lit(0)))
