@@ -1,15 +1,19 @@
 """HTML extraction by line-block distribution.
 
-Markup is stripped to lines, one for each block of text; what belongs to menus,
-notices and the like leaves an empty line.  Text lengths are summed over a
-sliding window of lines; where the sum surges the article begins, where it dives
-to nothing it ends, and all lines between are kept.
+Markup is stripped to lines, one for each block of text.  Text lengths are summed
+over a sliding window of lines; where the sum surges a region of main text begins,
+where it dives to nothing the region ends, and all lines between are kept.  Markup
+only says what the sums are made of: menus, notices and the like have no lines,
+and outside an article they leave a gap that no window spans; text in links weighs
+nothing outside an article; a page's article surges from its first character, and
+text beside it only with the weight of a paragraph.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,10 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import small_batches, table
 
-#: Lines of the sliding window, and characters in it from which text surges.
-WINDOW, SURGE = 3, 40
-#: Regions with at least this part of the largest region's text belong to the article too.
-SHARE = 0.5
+#: Lines of the sliding window; characters in it from which text surges, and from which it does beside an article.
+WINDOW, SURGE, BESIDE = 3, 40, 160
 
 #: Elements whose content is never text, those that are not main text, those that break lines.
 RAW = frozenset("script style noscript template iframe object svg canvas math audio video textarea select".split())
@@ -42,22 +44,33 @@ MARKS = frozenset(
     "alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations widget pagination pager "
     "skip complementary contentinfo search dialog form feedback toc tags".split()
 )
+#: Words that stand beside a mark in a compound name without changing what it means.
+AFFIXES = frozenset(
+    "site page top bottom left right main global primary secondary upper lower list item items box links link bar wrapper wrap container block section area zone slot unit "
+    "body inner outer content text title icon button group column col row panel post entry user reader mobile desktop sticky fixed inline small large".split()
+)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S
 )
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I | re.S)
-_WORD = re.compile(r"[a-z]+")
+_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+
+
+def _means_aside(name: str) -> bool:
+    """Is a class, id or role a mark, or a compound of marks and affixes?"""
+    parts = {x.lower() for x in _PART.findall(name)}
+    return not parts.isdisjoint(MARKS) and parts <= MARKS | AFFIXES
 
 
 def _marked(attributes: str) -> bool:
     """Do an element's attributes say that it is hidden or not main text?"""
     for name, value in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), html.unescape(value.strip("\"'")).lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true":
+        name, value = name.lower(), html.unescape(value.strip("\"'"))
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
-        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id", "role") and any(w in MARKS for part in value.split() for w in _WORD.findall(part)):
+        if name in ("class", "id", "role") and any(map(_means_aside, value.split())):
             return True
     return False
 
@@ -65,20 +78,22 @@ def _marked(attributes: str) -> bool:
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """The page's blocks in order: text, characters of it in links, whether inside article or main.
 
-    A block that is not main text leaves WINDOW empty lines, so that no window spans it.
+    Outside an article a block that is not main text leaves WINDOW empty lines, so
+    that no window spans it; so do an article's ends.
     """
     lines: list[tuple[str, int, bool]] = []
     stack: list[tuple[str, bool, bool, bool]] = []  # name, not main text, article, link
+    opened: Counter[str] = Counter()
     parts: list[str] = []
     linked = 0
     off = inside = link = False
 
-    def end_line() -> None:
+    def end_line(within: bool | None = None) -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                lines.append((text, min(linked, len(text)), inside))
+                lines.append((text, min(linked, len(text)), inside if within is None else within))
             parts.clear()
         linked = 0
 
@@ -93,10 +108,11 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 
     def pop() -> None:
         nonlocal off, inside, link
-        was = off
-        stack.pop()
+        was, within = off, inside
+        opened[stack.pop()[0]] -= 1
         _, off, inside, link = stack[-1] if stack else ("", False, False, False)
-        if was and not off:
+        if not inside and (within or was and not off):
+            end_line(within)
             lines.extend([("", 0, False)] * WINDOW)
 
     at = 0
@@ -117,7 +133,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if name in BLOCK:
             end_line()
         if closing:
-            if any(x[0] == name for x in stack):
+            if opened[name]:
                 while stack[-1][0] != name:
                     pop()
                 pop()
@@ -132,39 +148,36 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             if stack and stack[-1][0] == old:
                 pop()
         main = name in ("article", "main")
+        if main and not inside and not off:
+            lines.extend([("", 0, False)] * WINDOW)
         aside = name in ASIDE and not (name == "header" and inside)
         stack.append((name, off or aside or (name not in ("html", "body") and _marked(attributes)), inside or main, link or name == "a"))
-        _, off, inside, link = stack[-1]
-        if off:
+        opened[name] += 1
+        if stack[-1][1] and not off:
             end_line()
+        _, off, inside, link = stack[-1]
     end_line()
     return lines
 
 
 def main_text(page: str | None) -> str:
-    """The article's blocks, one to a line; empty if there is none."""
+    """The regions that surge, one block to a line; where none does, all text outside links; empty if there is none."""
     lines = lines_of(page or "")
-    if any(x[2] for x in lines):
-        # the page says where its article is: what lies outside counts as empty
-        lines = [x if x[2] else ("", 0, False) for x in lines]
-        surge = 1
-    else:
-        surge = SURGE
-    weight = [len(text) - link for text, link, _ in lines]
-    sums = [sum(weight[max(0, k - WINDOW + 1) : k + 1]) for k in range(len(lines))]
-    regions, start = [], None
-    for k, total in enumerate(sums):
-        if start is None and total >= surge:
-            start = max(0, k - WINDOW + 1)
-        if start is not None and total == 0:
-            regions.append((start, k))
+    surge = BESIDE if any(inside for _, _, inside in lines) else SURGE
+    # an article's text counts whole, and surges however short it is
+    weight = [len(text) + surge if inside else len(text) - link for text, link, inside in lines]
+    kept, start, total, surged = [], None, 0, False
+    for k in range(len(lines) + WINDOW):
+        total += (weight[k] if k < len(lines) else 0) - (weight[k - WINDOW] if k >= WINDOW else 0)
+        if total and start is None:
+            start, surged = k, False
+        surged |= total >= surge
+        if not total and start is not None:
+            if surged:
+                kept.append((start, min(k, len(lines))))
             start = None
-    if start is not None:
-        regions.append((start, len(lines)))
-    if not regions and surge > 1:
-        regions = [(0, len(lines))] if sum(weight) else []
-    size = [sum(weight[a:b]) for a, b in regions]
-    kept = [r for r, n in zip(regions, size, strict=True) if surge == 1 or n >= SHARE * max(size)]
+    if not kept and sum(weight):
+        kept = [(0, len(lines))]
     return "\n".join(lines[k][0] for a, b in kept for k in range(a, b) if lines[k][0])
 
 
