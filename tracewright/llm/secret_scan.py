@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import settle, table
+from .common import settle, small, table
 
 #: Fixed patterns: (kind, pattern, group that is the secret, least length of that group).
 #: A run of one class is matched whole, so its least length may stand in the pattern.
@@ -23,9 +23,11 @@ BASE = (
 #: Bare tokens that become spans only where they are live: letters of both cases and digits.
 BARE = ("bare", r"[A-Za-z0-9_-]{20,}", 0, 20)
 PLACEHOLDER = r"(?i)(example|sample|changeme|placeholder|dummy|your|xxxx|\*\*\*\*|abcdef|123456)"
-#: A candidate is live if at most so many owners and repositories hold it and it has so many different characters.
-MAX_OWNERS, MAX_REPOS, MIN_DISTINCT = 2, 50, 8
+#: A candidate is live if at most so many owners hold it, in however many repositories of theirs, and it has so many
+#: different characters, or two thirds of its length if that is less.
+MAX_OWNERS, MIN_DISTINCT = 2, 8
 REDACTED = "[SECRET]"
+_SAME = "_tracewright_same"
 KINDS = tuple(k for k, *_ in (*BASE, BARE))
 
 
@@ -84,7 +86,7 @@ def spans(found: DataFrame) -> DataFrame:
     held = flat.groupBy("hash", "owner", "repo").agg(F.max("real").alias("real"))
     owners = held.groupBy("hash", "owner").agg(F.count("*").alias("repos"), F.max("real").alias("real"))
     judged = owners.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"), F.max("real").alias("real"))
-    judged = judged.select("hash", (F.col("real") & (F.col("n_owners") <= MAX_OWNERS) & (F.col("n_repos") <= MAX_REPOS)).alias("live"))
+    judged = judged.select("hash", (F.col("real") & (F.col("n_owners") <= MAX_OWNERS)).alias("live"), "n_repos")
     out = flat.join(judged, "hash", "left")
 
     base = F.col("kind") != BARE[0]
@@ -96,7 +98,8 @@ def spans(found: DataFrame) -> DataFrame:
 
 
 def _looks_real(value: Column) -> Column:
-    return (F.size(F.array_distinct(F.split(value, ""))) >= MIN_DISTINCT) & ~value.rlike(PLACEHOLDER)
+    least = F.least(F.lit(MIN_DISTINCT), F.floor(F.length(value) * 2 / 3))
+    return (F.size(F.array_distinct(F.split(value, ""))) >= least) & ~value.rlike(PLACEHOLDER)
 
 
 def secret_scan(docs: DataFrame, **columns) -> DataFrame:
@@ -131,28 +134,28 @@ def secret_scan(docs: DataFrame, **columns) -> DataFrame:
 def redact_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with every live secret in the text replaced by ``[SECRET]``; copied examples stay.
 
-    All rows and columns are kept.  Where ``n_chars`` is a column it follows the new text.
+    All rows and columns are kept, whatever their names.  Null and empty texts
+    stay; repeated rows change alike; an empty table gives an empty one.  Where ``n_chars`` is a column it follows the new text.
     """
     found = candidates(docs, text_col, owner_col, repo_col, id_col)
     live = spans(found).where("live").groupBy(*_KEY).agg(F.collect_set("hash").alias("_live"))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.withColumns({"_owner": F.col(owner_col).cast("string"), "_repo": F.col(repo_col).cast("string"), "_hash": F.xxhash64(text, F.length(text))})
-    joined = rows.join(live.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(_KEY)], "_live"), _matches(rows, id_col), "left")
-    new = text
+    # the few rows to change go by their keys to where the texts are, which are not shuffled while those can be broadcast
+    live = small(settle(live.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(_KEY)], "_live")))
+    text = F.coalesce(docs[text_col], F.lit(""))
+    same = docs[id_col].eqNullSafe(live["_k0"]) & docs[owner_col].cast("string").eqNullSafe(live["_k1"]) & docs[repo_col].cast("string").eqNullSafe(live["_k2"])
+    joined = docs.join(live, same & (F.xxhash64(text, F.length(text)) == live["_k3"]), "left")
+    mine, new = live["_live"], text
     for kind, pattern, group, _ in (*BASE, BARE):
         parts, hits = F.split(new, pattern, -1), F.regexp_extract_all(new, F.lit(pattern), F.lit(0))
         values = F.regexp_extract_all(new, F.lit(pattern), F.lit(group))
-        changed = F.zip_with(hits, values, lambda m, v: F.when(F.array_contains(F.col("_live"), F.sha2(v, 256)), F.replace(m, v, F.lit(REDACTED))).otherwise(m))
+        changed = F.zip_with(hits, values, lambda m, v: F.when(F.array_contains(mine, F.sha2(v, 256)), F.replace(m, v, F.lit(REDACTED))).otherwise(m))
         new = F.when(new.rlike(pattern), F.array_join(F.zip_with(parts, F.concat(changed, F.array(F.lit(""))), lambda p, m: F.concat(p, m)), "")).otherwise(new)
-    out = joined.withColumn(text_col, F.when(F.col("_live").isNull(), F.col(text_col)).otherwise(new))
+    new = F.when(mine.isNull(), docs[text_col]).otherwise(new)
+    columns = {c: docs[c] for c in docs.columns} | {text_col: new}
+    out = joined.select(*[x.alias(c) for c, x in columns.items()], mine.isNull().alias(_SAME))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_live").isNull(), F.col("n_chars")).otherwise(F.length(text_col).cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
-
-
-def _matches(rows: DataFrame, id_col: str) -> Column:
-    k = [F.col(f"_k{i}") for i in range(4)]
-    return rows[id_col].eqNullSafe(k[0]) & rows["_owner"].eqNullSafe(k[1]) & rows["_repo"].eqNullSafe(k[2]) & (rows["_hash"] == k[3])
+        out = out.withColumn("n_chars", F.when(F.col(_SAME), F.col("n_chars")).otherwise(F.length(text_col).cast(docs.schema["n_chars"].dataType)))
+    return out.drop(_SAME)
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,11 +181,11 @@ f AS ({" UNION ALL ".join(_sql_kind(r, *k) for r, k in enumerate((*BASE, BARE)))
 e AS (SELECT *, sum(gap + len) OVER (PARTITION BY rid, rank ORDER BY i) AS stop FROM f),
 s AS (
   SELECT e.*, (stop - len)::BIGINT AS start, doc_id, source, sha256(value) AS hash,
-         len(list_distinct(string_split(value, ''))) >= {MIN_DISTINCT} AND NOT regexp_matches(value, '{PLACEHOLDER}') AS real
+         len(list_distinct(string_split(value, ''))) >= least({MIN_DISTINCT}, length(value) * 2 // 3) AND NOT regexp_matches(value, '{PLACEHOLDER}') AS real
   FROM e JOIN d USING (rid)
   WHERE length(value) >= least AND (kind <> 'bare' OR (regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[0-9]')))
 ), j AS (
-  SELECT hash, count(DISTINCT coalesce(source, chr(0))) <= {MAX_OWNERS} AND count(DISTINCT (source, doc_id)) <= {MAX_REPOS} AND bool_or(real) AS live FROM s GROUP BY hash
+  SELECT hash, count(DISTINCT coalesce(source, chr(0))) <= {MAX_OWNERS} AND bool_or(real) AS live FROM s GROUP BY hash
 ), a AS (
   SELECT s.*, live FROM s JOIN j USING (hash)
 ), k AS (
