@@ -12,7 +12,7 @@ REDACTIONS = (
     ("EMAIL", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b", "[EMAIL_REDACTED]"),
     ("GENERIC_API_KEY", r"\b((sk|pk|rk)-[a-zA-Z0-9]{20,})\b", "[API_KEY_REDACTED]"),
     ("HF_TOKEN", r"\b(hf_[a-zA-Z0-9]{30,})\b", "[HF_TOKEN_REDACTED]"),
-    ("GITHUB_TOKEN", r"\b(gh[pousr]_[a-zA-Z0-9]{30,})\b", "[GITHUB_TOKEN_REDACTED]"),
+    ("GITHUB_TOKEN", r"\b(ghp_[a-zA-Z0-9]{30,}|gho_[a-zA-Z0-9]{30,}|ghu_[a-zA-Z0-9]{30,}|ghs_[a-zA-Z0-9]{30,}|ghr_[a-zA-Z0-9]{30,})\b", "[GITHUB_TOKEN_REDACTED]"),
     ("AWS_ACCESS_KEY_ID", r"\b(AKIA[0-9A-Z]{16})\b", "[AWS_ACCESS_KEY_ID_REDACTED]"),
     ("POTENTIAL_AWS_SECRET_KEY", r"\b([A-Za-z0-9/+=]{40})\b", "[POTENTIAL_SECRET_KEY_REDACTED]"),
     ("JWT", r"\b(ey[A-Za-z0-9-_=]+\.[A-Za-z0-9-_=]+\.[A-Za-z0-9-_.+/=]+)\b", "[JWT_REDACTED]"),
@@ -22,6 +22,9 @@ REDACTIONS = (
     ("IP_ADDRESS_V4", r"\b(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b", "[IP_ADDRESS_REDACTED]"),
 )
 
+#: What a text must hold for a rule to match at all; looked for before the pattern is.
+NEEDS = {"EMAIL": "@", "GENERIC_API_KEY": "k-", "HF_TOKEN": "hf_", "GITHUB_TOKEN": "gh", "AWS_ACCESS_KEY_ID": "AKIA", "JWT": "ey", "URL_CREDENTIALS": "://", "IP_ADDRESS_V4": "."}
+
 #: Words that make a trace look complex.
 COMPLEXITY_KEYWORDS = (
     "explain", "debug", "code", "implement", "algorithm", "complex", "step-by-step", "error", "fix", "troubleshoot",
@@ -36,10 +39,19 @@ def redact(text: Column, rules=REDACTIONS) -> Column:
     """
     state = F.struct(text.alias("text"), F.expr("cast(array() as array<string>)").alias("found"))
     for name, pattern, placeholder in rules:
-        state = _let(state, _apply(name, "(?U)" + pattern, placeholder.replace("\\", "\\\\").replace("$", "\\$")))
+        state = _let(state, _apply(name, pattern, placeholder))
     return state
 
 
+def replaced(text: Column, name: str, pattern: str, placeholder: str) -> Column:
+    """A rule applied to a text; texts without what its pattern cannot do without are passed by."""
+    new = F.regexp_replace(text, "(?U)" + pattern, placeholder.replace("\\", "\\\\").replace("$", "\\$"))
+    return F.when(F.contains(text, F.lit(NEEDS[name])), new).otherwise(text) if (name, pattern) in _NEEDED else new
+
+
+_NEEDED = {(name, pattern) for name, pattern, _ in REDACTIONS if name in NEEDS}
+
+
 def _apply(name: str, pattern: str, placeholder: str):
     """One rule as a function of the state so far."""
 
@@ -48,7 +60,7 @@ def _apply(name: str, pattern: str, placeholder: str):
             found = F.when(new != s["text"], F.array_append(s["found"], F.lit(name))).otherwise(s["found"])
             return F.struct(new.alias("text"), found.alias("found"))
 
-        return _let(F.regexp_replace(s["text"], pattern, placeholder), changed)
+        return _let(replaced(s["text"], name, pattern, placeholder), changed)
 
     return rule
 

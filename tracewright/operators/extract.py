@@ -26,8 +26,8 @@ def lenient(value: Column) -> Column:
 
 
 def model_from_url(url: Column) -> Column:
-    """The path segment after models/, up to a colon or slash; null if there is none."""
-    return F.nullif(F.regexp_extract(url, "models/([^:/?#]*)", 1), F.lit(""))
+    """What follows models/ up to a colon or slash, a query included; null if there is nothing."""
+    return F.nullif(F.regexp_extract(url, "models/([^:/]*)", 1), F.lit(""))
 
 
 def extract_traces(traffic: DataFrame, targets=TARGET_HOSTS) -> DataFrame:

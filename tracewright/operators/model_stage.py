@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import json
 import re
+import urllib.error
+import urllib.request
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
@@ -18,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..checkpoints import settle
 from ..functions.text import chunks, is_blank, replace_items
 from ..schemas import MESSAGES, PII_ITEM
 
@@ -61,6 +64,39 @@ class RuleClient:
         return json.dumps({"is_user_feedback_on_error": feedback, "is_assistant_self_correction": self_made, "is_assistant_error_before_correction": feedback or self_made, "correction_rationale": reason})
 
 
+#: Shapes that a server may be asked to answer in.
+PII_SHAPE = {"type": "object", "required": ["pii_list"], "properties": {"pii_list": {"type": "array", "items": {
+    "type": "object", "required": ["category", "value"], "properties": {"category": {"type": "string", "enum": list(CATEGORIES)}, "value": {"type": "string"}}}}}}
+CORRECTION_SHAPE = {"type": "object", "properties": {
+    **{x: {"type": "boolean"} for x in ("is_user_feedback_on_error", "is_assistant_self_correction", "is_assistant_error_before_correction")}, "correction_rationale": {"type": ["string", "null"]}}}
+
+
+class HttpClient:
+    """Asks a chat server: POST <url>/api/chat with model, messages and the shape of the answer; the reply is message.content.
+
+    An HTTP error is a ModelError with the server's own message; a server that
+    cannot be reached, or answers with something else, is any other error.
+    """
+
+    def __init__(self, url: str, model: str, shape: dict | str = "json", timeout: float = 120.0):
+        self.url, self.name, self.shape, self.timeout = url.rstrip("/"), model, shape, timeout
+
+    def ask(self, system: str, user: str) -> str:
+        messages = [{"role": "system", "content": system}, {"role": "user", "content": user}]
+        body = json.dumps({"model": self.name, "messages": messages, "format": self.shape, "stream": False}).encode()
+        request = urllib.request.Request(f"{self.url}/api/chat", body, {"Content-Type": "application/json"})
+        try:
+            with urllib.request.urlopen(request, timeout=self.timeout) as reply:
+                return json.loads(reply.read())["message"]["content"]
+        except urllib.error.HTTPError as e:
+            text = e.read().decode("utf-8", "replace")
+            try:
+                text = json.loads(text)["error"]
+            except (ValueError, KeyError, TypeError):
+                pass
+            raise ModelError(f"{e.code} {text}") from e
+
+
 def ask_all(df: DataFrame, system: str, user_col: str, out_col: str, factory: Callable[[], Client], workers: int = WORKERS) -> DataFrame:
     """``df`` with the model's reply to each prompt, and <out_col>_error where the call failed; null prompts are not sent."""
     schema = T.StructType([*df.schema.fields, T.StructField(out_col, T.StringType()), T.StructField(f"{out_col}_error", T.StringType())])
@@ -97,14 +133,18 @@ def _first_seen(items: Column) -> Column:
     return F.array_distinct(items)
 
 
-def redact_by_model(traces: DataFrame, factory: Callable[[], Client], key: str = "trace_id", size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, workers: int = WORKERS, per_field: bool = False) -> DataFrame:
+def redact_by_model(traces: DataFrame, factory: Callable[[], Client], size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, workers: int = WORKERS, per_field: bool = False) -> DataFrame:
     """Sensitive text that the model finds, replaced in messages and completion.
 
     By default a trace's findings, of all its messages and its completion, apply
     to all of them, and all detected categories are reported; per_field applies
     each text's own findings to it alone and reports only categories replaced.
-    Blank texts are not sent; failed and broken replies find nothing.
+    Blank texts are not sent; broken replies find nothing.  Where calls failed,
+    text may have passed unseen: llm_call_error has the first error, null elsewhere.
+    Null and repeated keys are traces of their own.
     """
+    given, key = traces.columns, "_tracewright_row"
+    traces = settle(traces.withColumn(key, F.monotonically_increasing_id()))  # settled, so the same number each time
     texts = F.concat(
         F.transform(F.coalesce("messages", F.array()), lambda m, i: F.struct(i.alias("field"), F.coalesce(m["content"], F.lit("")).alias("text"))),
         F.array(F.struct(F.lit(-1).alias("field"), F.coalesce("completion", F.lit("")).alias("text"))),
@@ -113,9 +153,9 @@ def redact_by_model(traces: DataFrame, factory: Callable[[], Client], key: str =
     pieces = fields.select(key, F.col("t.field").alias("field"), F.posexplode(chunks(F.col("t.text"), size, overlap)).alias("piece", "prompt"))
     asked = ask_all(pieces, PII_PROMPT, "prompt", "reply", factory, workers).withColumn("items", _parse_items(F.col("reply")))
     # a trace's chunks are as many as its text holds; their order decides between equal items
-    per = asked.groupBy(key, "field").agg(F.transform(F.array_sort(F.collect_list(F.struct("piece", "items"))), lambda x: x["items"]).alias("lists"))
-    per = per.select(key, "field", _first_seen(F.flatten("lists")).alias("items"))
-    found = per.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("field", "items"))).alias("_by_field"))
+    per = asked.groupBy(key, "field").agg(F.transform(F.array_sort(F.collect_list(F.struct("piece", "items"))), lambda x: x["items"]).alias("lists"), F.min("reply_error").alias("error"))
+    per = per.select(key, "field", _first_seen(F.flatten("lists")).alias("items"), "error")
+    found = per.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("field", "items"))).alias("_by_field"), F.min("error").alias("llm_call_error"))
     rows = traces.join(found.withColumnRenamed(key, "_key"), traces[key] == F.col("_key"), "left").drop("_key")
 
     none = F.array().cast(T.ArrayType(PII_ITEM))
@@ -145,7 +185,8 @@ def redact_by_model(traces: DataFrame, factory: Callable[[], Client], key: str =
     out = rows.withColumns({"messages": F.col("_messages"), "completion": F.col("_completion")})
     if "session_id" in out.columns:
         out = out.withColumn("session_id", F.coalesce("session_id", F.lit("")))
-    return out.drop("_by_field", "_fields", "_of_messages", "_of_completion", "_messages", "_completion")
+    out = out.drop("_by_field", "_fields", "_of_messages", "_of_completion", "_messages", "_completion", key)
+    return out.select(*given, *[c for c in out.columns if c not in given])
 
 
 def category_summary(redacted: DataFrame) -> DataFrame:

@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import REDACTIONS, redact
+from ..functions.text import REDACTIONS, redact, replaced
 from ..schemas import MESSAGES
 
 LEGACY = ("anonymized_messages", "anonymized_completion", "sensitive_patterns_found")
 
 
 def redact_text(df: DataFrame, text_col: str, rules=REDACTIONS) -> DataFrame:
-    """``df`` with redacted and patterns_found (in rule order) of a text column."""
-    return df.withColumn("_r", redact(F.col(text_col), rules)).withColumn("redacted", F.col("_r.text")).withColumn("patterns_found", F.col("_r.found")).drop("_r")
+    """``df`` with redacted and patterns_found (in rule order) of a text column; a projection for each rule, all inside generated code."""
+    steps = [f"_tracewright_{k}" for k in range(len(rules) + 1)]
+    out = df.withColumn(steps[0], F.col(text_col))
+    for k, (name, pattern, placeholder) in enumerate(rules):
+        out = out.withColumn(steps[k + 1], replaced(F.col(steps[k]), name, pattern, placeholder))
+    found = F.array_compact(F.array(*[F.when(F.col(steps[k + 1]) != F.col(steps[k]), F.lit(rule[0])) for k, rule in enumerate(rules)]).cast("array<string>"))
+    return out.withColumns({"redacted": F.col(steps[-1]), "patterns_found": found}).drop(*steps)
 
 
 def redact_traces(traces: DataFrame, rules=REDACTIONS) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from ..functions.json_values import items, kind, text_at
 from ..schemas import MESSAGES
 
-SYSTEM_PROMPT = "You are a helpful AI assistant."
+#: The first message of every training example, the version of the schemas.
+SYSTEM_PROMPT = "You are a helpful assistant."
 SCHEMA_VERSION = "1.0"
 
 
@@ -57,10 +58,15 @@ def conversation_traces(conversations: DataFrame) -> DataFrame:
 
 
 def by_name(df: DataFrame) -> DataFrame:
-    """``df`` with the fields of message columns in their fixed order, whatever order a reader inferred."""
+    """``df`` with the fields of message columns in their fixed order, whatever order a reader inferred.
+
+    Message columns that hold an array for each field are turned into arrays of messages.
+    """
     out = df
     for name in ("messages", "original_messages"):
         kind = df.schema[name].dataType if name in df.columns else None
+        if isinstance(kind, T.StructType) and {"role", "content"} <= set(kind.names) and all(isinstance(kind[x].dataType, T.ArrayType) for x in ("role", "content")):
+            out = out.withColumn(name, untranspose(F.col(name)))
         if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType) and {"role", "content"} <= set(kind.elementType.names):
             out = out.withColumn(name, F.transform(name, lambda m: message(m["role"], m["content"])).cast(MESSAGES))
     return out

@@ -15,7 +15,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import model_stage, redact, score, sessionize, shape, validate
+from ..operators import extract, model_stage, redact, score, sessionize, shape, validate
 from ..sources import readers, writers
 
 #: What may stand for a stage's input besides a path: the run's base input, the output before it.
@@ -75,6 +75,8 @@ def _sessions(df: DataFrame, **options: Any) -> DataFrame:
 
 #: Stage functions; tests and users may add their own to a copy.
 STAGES: dict[str, Callable[..., DataFrame]] = {
+    "extract": lambda df, **o: extract.extract_traces(df, **o),
+    "examples": lambda df, source="base", **o: shape.add_trace_ids(shape.to_examples(df, **o), source),
     "sessionize": _sessions,
     "redact": lambda df, **_: redact.redact_traces(df),
     "model_redact": lambda df, **o: model_stage.redact_by_model(df, o.pop("client", model_stage.RuleClient), **o),
@@ -83,6 +85,10 @@ STAGES: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+#: Stages whose invalid rows never reach the next one.
+EXCLUDING = frozenset({"model_redact"})
+
+
 def select_steps(steps: list[Step], wanted: str | None) -> list[Step]:
     """Enabled steps, or those named by name or 1-based number, comma-separated, in their order.
 
@@ -106,27 +112,26 @@ class Runner:
 
     def load_checkpoint(self) -> dict | None:
         """The last finished step of this very configuration; None if there is none."""
+        text = writers.read_text(self.spark, self.manifest)
         try:
-            with open(self.manifest) as f:
-                found = json.load(f)
-        except (OSError, ValueError):
+            found = json.loads(text) if text else {}
+        except ValueError:
             return None
         return found if found.get("config") == self.config.fingerprint() else None
 
-    def save_checkpoint(self, step: Step, counts: list[dict]) -> None:
-        os.makedirs(self.config.folder, exist_ok=True)
-        draft = self.manifest + ".tmp"
-        with open(draft, "w") as f:
-            json.dump({"config": self.config.fingerprint(), "last_step": step.name, "output": self._path(step), "counts": counts}, f)
-        os.replace(draft, self.manifest)
+    def save_checkpoint(self, step: Step, counts: list[dict], output: str) -> None:
+        state = {"config": self.config.fingerprint(), "last_step": step.name, "output": output, "counts": counts}
+        writers.write_text(self.spark, self.manifest, json.dumps(state))
 
     def clear_checkpoint(self) -> None:
-        if os.path.exists(self.manifest):
-            os.remove(self.manifest)
+        writers.delete(self.spark, self.manifest)
 
     def _input(self, step: Step, last: str | None, first: bool) -> DataFrame:
         if step.input == BASE:
-            df = readers.read_jsonl(self.spark, self.config.base_input)
+            at = self.config.base_input
+            if not at.rstrip("/").endswith((".jsonl", ".json", ".json.gz", ".jsonl.gz")) and self.stages.get(step.stage) is self.stages.get("extract"):
+                return readers.read_traffic(self.spark, at)
+            df = readers.read_jsonl(self.spark, at)
             return shape.add_trace_ids(df, self.config.name) if first else df
         if step.input == PREVIOUS:
             at = self.config.steps.index(step)
@@ -167,17 +172,15 @@ class Runner:
                 if row["n_invalid"]:
                     valid, invalid = validate.split_valid(written, step.stage)
                     writers.quarantine(invalid, os.path.join(self.config.folder, "invalid"), step.stage)
-                    if self.drop_invalid:
+                    if self.drop_invalid or step.stage in EXCLUDING:
                         path += "-valid"
                         writers.replace_table(valid, path)
             else:
                 row = {"stage": step.stage, "n_valid": written.count(), "n_invalid": 0}
             counts.append(row)
             last = path
-            self.save_checkpoint(step, counts)
-        os.makedirs(self.config.folder, exist_ok=True)
-        with open(os.path.join(self.config.folder, "report.md"), "w") as f:
-            f.write(writers.report(counts, self.config.name))
+            self.save_checkpoint(step, counts, path)
+        writers.write_text(self.spark, os.path.join(self.config.folder, "report.md"), writers.report(counts, self.config.name))
         return counts
 
 

@@ -135,9 +135,21 @@ def chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", _long(F.col("chunk")).alias("chunk"), _long(F.length("piece")).alias("n_chars"), F.md5("piece").alias("piece_md5"))
 
 
+def _as_traces(conversations: DataFrame) -> DataFrame:
+    """Every turn as a trace of one message, to be validated."""
+    return conversations.select("role", "text", "turn", F.lit("t").alias("trace_id"), F.lit("1.0").alias("schema_version"), F.array(shape.message(F.col("role"), F.col("text"))).alias("messages"), F.lit("").alias("completion"))
+
+
 def role_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _table(spark, sf_dir, "conversations").withColumn("ok", F.coalesce(F.col("role").isin(*ROLES) & F.col("text").isNotNull(), F.lit(False)))
-    return rows.groupBy("role").agg(F.count_if("ok").alias("n_valid"), F.count_if(~F.col("ok")).alias("n_invalid"))
+    rows = validate.with_errors(_as_traces(_table(spark, sf_dir, "conversations")), "base")
+    return rows.groupBy("role").agg(F.count_if(F.size("errors") == 0).alias("n_valid"), F.count_if(F.size("errors") > 0).alias("n_invalid"))
+
+
+def validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors by place and kind; every fifth turn has a role that is none, every seventh no text."""
+    rows = _table(spark, sf_dir, "conversations").withColumns({"role": F.when(F.col("turn") % 5 == 0, "robot").otherwise(F.col("role")), "text": F.when(F.col("turn") % 7 != 0, F.col("text"))})
+    errors = validate.with_errors(_as_traces(rows), "base").select(F.explode("errors").alias("e"))
+    return errors.groupBy(F.array_join("e.loc", ".").alias("place"), F.col("e.type").alias("kind"), F.col("e.msg").alias("msg")).agg(F.count("*").alias("n"))
 
 
 def stage_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,12 +241,64 @@ def training_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_redaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as one-message traces, redacted by the rule client."""
-    docs = _table(spark, sf_dir, "documents")
-    traces = docs.select(F.col("doc_id").cast("string").alias("trace_id"), F.array(shape.message(F.lit("user"), F.col("text"))).alias("messages"), F.lit("").alias("completion"))
-    out = model_stage.redact_by_model(traces, model_stage.RuleClient)
+    out = model_stage.redact_by_model(_document_traces(spark, sf_dir, ""), model_stage.RuleClient)
     return out.select(F.col("trace_id").cast("long").alias("doc_id"), F.md5(F.col("messages")[0]["content"]).alias("redacted_md5"))
 
 
+def _document_traces(spark: SparkSession, sf_dir: str, completion: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return docs.select(F.col("doc_id").cast("string").alias("trace_id"), F.array(shape.message(F.lit("user"), F.col("text"))).alias("messages"), F.lit(completion).alias("completion"))
+
+
+def model_redaction_per_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and a fixed completion, each redacted by what was found in itself."""
+    out = model_stage.redact_by_model(_document_traces(spark, sf_dir, "to a@b.co"), model_stage.RuleClient, per_field=True)
+    return out.select(F.col("trace_id").cast("long").alias("doc_id"), F.md5(F.col("messages")[0]["content"]).alias("redacted_md5"), "completion")
+
+
+def model_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model_stage.category_summary(model_stage.redact_by_model(_document_traces(spark, sf_dir, ""), model_stage.RuleClient))
+
+
+def correction_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies made from the labels, parsed: fenced, bare, of a wrong type, or no JSON at all."""
+    labels = _table(spark, sf_dir, "labels")
+    flag = lambda c: F.when(F.col(c) == 1, "true").otherwise("false")
+    body = F.concat(F.lit('{"is_user_feedback_on_error": '), flag("quality"), F.lit(', "is_assistant_self_correction": '), flag("toxic"), F.lit(', "correction_rationale": "because"}'))
+    fenced = F.concat(F.lit("```json\n"), body, F.lit("\n```"))
+    wrong = F.lit('{"is_user_feedback_on_error": "perhaps"}')
+    reply = F.when(F.col("doc_id") % 4 == 0, fenced).when(F.col("doc_id") % 4 == 1, body).when(F.col("doc_id") % 4 == 2, wrong).otherwise(F.lit("no idea"))
+    parsed = labels.select("doc_id", model_stage.parse_corrections(reply).alias("p"))
+    return parsed.select("doc_id", "p.is_user_feedback_on_error", "p.is_assistant_self_correction", "p.is_assistant_error_before_correction", "p.correction_rationale")
+
+
+def undecodable_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls left when every fourth conversation's request bodies are no UTF-8."""
+    traffic = traffic_from_conversations(spark, sf_dir)
+    broken = F.when(F.floor(F.col("id") / 1000) % 4 == 0, F.concat("request_content", F.unhex(F.lit("FF")))).otherwise(F.col("request_content"))
+    return extract.extract_traces(traffic.withColumn("request_content", broken)).select("original_http_traffic_id")
+
+
+def trace_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shape.add_trace_ids(_table(spark, sf_dir, "documents").select("doc_id"), "base", "doc_id").select("doc_id", "trace_id", "schema_version")
+
+
+def untransposed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as an array for each field, turned back into messages; every fifth has lost a text."""
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("text"))))
+    rows = _table(spark, sf_dir, "conversations").groupBy("conv_id").agg(turns.alias("t"))
+    texts = F.transform("t", lambda x: x["text"])
+    texts = F.when(F.col("conv_id") % 5 == 0, F.slice(texts, F.lit(1), F.size(texts) - 1)).otherwise(texts)
+    made = shape.untranspose(F.struct(F.transform("t", lambda x: x["role"]).alias("role"), texts.alias("content")))
+    return rows.select("conv_id", F.md5(F.array_join(F.transform(made, lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n")).alias("messages_md5"))
+
+
+def trace_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of the patterns found anywhere in a trace."""
+    out = redact.redact_traces(_traces(spark, sf_dir))
+    return out.select("conv_id", "turn", F.array_join("anonymization_details.regex_patterns_found", ",").alias("patterns"))
+
+
 def correction_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model_stage.correction_summary(model_stage.label_corrections(_traces(spark, sf_dir), model_stage.RuleClient))
 
@@ -264,9 +328,27 @@ QUERIES = {
     "training_examples": training_examples,
     "model_redaction": model_redaction,
     "correction_labels": correction_labels,
+    "validation_errors": validation_errors,
+    "model_redaction_per_field": model_redaction_per_field,
+    "model_categories": model_categories,
+    "correction_replies": correction_replies,
+    "undecodable_calls": undecodable_calls,
+    "trace_ids": trace_ids,
+    "untransposed_messages": untransposed_messages,
+    "trace_patterns": trace_patterns,
 }
 
 _EMAIL = r"[A-Za-z0-9._-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+#: What the rule client finds in the documents' pieces of 4000 characters, 200 of them shared, replaced longest first.
+_FOUND_SQL = f"""
+p AS (SELECT doc_id, text, unnest(range(0, 1 + greatest(0, ceil((length(text) - 4000) / 3800)::BIGINT))) AS i FROM documents WHERE length(text) > 0),
+f AS (SELECT doc_id, list_distinct(flatten(list(regexp_extract_all(substr(text, i * 3800 + 1, 4000), '{_EMAIL}')))) AS found FROM p GROUP BY doc_id),
+r AS (
+  SELECT doc_id, found, list_reduce(
+    list_prepend(coalesce(text, ''), list_transform(list_sort(list_transform(coalesce(found, []::VARCHAR[]), lambda v: {{'n': -length(v), 'v': v}})), lambda x: x.v)),
+    lambda t, v: replace(t, v, '[EMAIL_ADDRESS_REDACTED]')) AS redacted
+  FROM documents LEFT JOIN f USING (doc_id)
+)"""
 ORACLES = {
     "traces_from_conversations": f"WITH {_TRACES_SQL} SELECT conv_id, turn, len(msgs)::BIGINT AS n_messages, md5(array_to_string(msgs, chr(10))) AS prompt_md5, length(completion)::BIGINT AS completion_chars FROM tr",
     "sessionize": f"WITH {_SESSION_SQL} SELECT conv_id, turn, session_id, turn_in_session_id FROM ss",
@@ -298,6 +380,28 @@ ORACLES = {
       length(completion)::BIGINT AS prompt_token_count, CASE WHEN turn % 2 = 1 THEN 2 ELSE 3 END::BIGINT AS candidates_token_count,
       (length(completion) + CASE WHEN turn % 2 = 1 THEN 2 ELSE 3 END)::BIGINT AS total_token_count FROM x""",
     "training_examples": f"""WITH {_EXTRACT_SQL} SELECT id AS ord, (1 + len(k))::BIGINT AS n_messages,
-      md5(array_to_string(list_concat(['system:{shape.SYSTEM_PROMPT}'], list_transform(k, lambda y: y.r || ':' || y.c)), chr(10))) AS messages_md5, md5(completion) AS completion_md5
+      md5(array_to_string(list_concat(['system:You are a helpful assistant.'], list_transform(k, lambda y: y.r || ':' || y.c)), chr(10))) AS messages_md5, md5(completion) AS completion_md5
       FROM (SELECT id, completion, list_filter(m, lambda y: y.r <> 'system' AND y.c <> '') AS k FROM x)""",
+    "model_redaction": f"WITH {_FOUND_SQL} SELECT doc_id, md5(redacted) AS redacted_md5 FROM r",
+    "model_redaction_per_field": f"WITH {_FOUND_SQL} SELECT doc_id, md5(redacted) AS redacted_md5, 'to [EMAIL_ADDRESS_REDACTED]' AS completion FROM r",
+    "model_categories": f"WITH {_FOUND_SQL} SELECT 'EMAIL_ADDRESS' AS category, count(*) AS n_rows FROM r WHERE len(found) > 0 HAVING count(*) > 0",
+    "correction_labels": f"""WITH {_TRACES_SQL}, q AS (
+      SELECT w LIKE '%that''s wrong%' OR w LIKE '%incorrect%' AS a, w LIKE '%apologies%' OR w LIKE '%i misunderstood%' AS b FROM (SELECT lower(array_to_string(contents, chr(1)) || chr(1) || completion) AS w FROM tr))
+      SELECT count(*) AS n, count(*) FILTER (a) AS n_is_user_feedback_on_error, count(*) FILTER (b) AS n_is_assistant_self_correction, count(*) FILTER (a OR b) AS n_is_assistant_error_before_correction FROM q""",
+    "validation_errors": """WITH c AS (SELECT CASE WHEN turn % 5 = 0 THEN 'robot' ELSE role END AS role, CASE WHEN turn % 7 <> 0 THEN text END AS text FROM conversations)
+      SELECT place, kind, msg, count(*) AS n FROM (
+        SELECT 'messages.0.role' AS place, 'value_error' AS kind, 'Role must be known, got ' || chr(39) || role || chr(39) AS msg FROM c WHERE role NOT IN ('system', 'user', 'assistant', 'tool_code', 'tool_outputs')
+        UNION ALL SELECT 'messages.0.role', 'missing', 'Field required' FROM c WHERE role IS NULL
+        UNION ALL SELECT 'messages.0.content', 'missing', 'Field required' FROM c WHERE text IS NULL) GROUP BY place, kind, msg""",
+    "correction_replies": """SELECT doc_id, doc_id % 4 < 2 AND quality = 1 AS is_user_feedback_on_error, doc_id % 4 < 2 AND toxic = 1 AS is_assistant_self_correction,
+      false AS is_assistant_error_before_correction, CASE WHEN doc_id % 4 < 2 THEN 'because' END AS correction_rationale FROM labels""",
+    "undecodable_calls": f"WITH {_EXTRACT_SQL} SELECT id AS original_http_traffic_id FROM x WHERE conv_id % 4 <> 0",
+    "trace_ids": """SELECT doc_id, h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] AS trace_id, '1.0' AS schema_version
+      FROM (SELECT doc_id, sha256('base:' || doc_id) AS h FROM documents)""",
+    "untransposed_messages": "SELECT conv_id, CASE WHEN conv_id % 5 <> 0 THEN md5(string_agg(role || ':' || coalesce(text, ''), chr(10) ORDER BY turn)) END AS messages_md5 FROM conversations GROUP BY conv_id",
+    "trace_patterns": f"""WITH {_TRACES_SQL}, u AS (
+      SELECT {{'c': conv_id, 't': turn}} AS k, unnest(list_append(contents, completion)) AS text FROM tr
+    ), g AS ({_redact_sql("u", "k", "text")}
+    ), n AS (SELECT k, unnest(string_split(patterns, ',')) AS p FROM g WHERE patterns <> '')
+    SELECT conv_id, turn, coalesce(names, '') AS patterns FROM tr LEFT JOIN (SELECT k.c AS conv_id, k.t AS turn, string_agg(DISTINCT p, ',' ORDER BY p) AS names FROM n GROUP BY k.c, k.t) USING (conv_id, turn)""",
 }

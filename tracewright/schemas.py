@@ -16,6 +16,7 @@ def _fields(*pairs: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in pairs])
 
 
+#: The names and order of the fields below.
 S, L, I, D, B = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.BooleanType()
 
 HTTP_TRAFFIC = _fields(

@@ -91,3 +91,33 @@ def read_sqlite(spark: SparkSession, database: str, name: str, schema: T.StructT
 def browse(df: DataFrame, n: int = 5, preview: int = 40) -> DataFrame:
     """The first rows, binary columns as the start of their hex."""
     return df.limit(n).select(*[F.hex(F.substring(f.name, 1, preview)).alias(f.name) if isinstance(f.dataType, T.BinaryType) else F.col(f.name) for f in df.schema.fields])
+
+
+def sqlite_catalog(database: str) -> dict[str, list[tuple[str, str]]]:
+    """Every table of a SQLite file with its columns and their declared types; a file that is none is a ValueError."""
+    try:
+        with sqlite3.connect(f"file:{database}?mode=ro", uri=True) as db:
+            names = [n for (n,) in db.execute("SELECT name FROM sqlite_master WHERE type = 'table' ORDER BY name")]
+            return {n: [(c[1], c[2]) for c in db.execute(f'PRAGMA table_info("{n}")')] for n in names}
+    except sqlite3.DatabaseError as e:
+        raise ValueError(f"{database} can't be read as SQLite: {e}") from e
+
+
+def has_table(database: str, name: str) -> bool:
+    return name in sqlite_catalog(database)
+
+
+def summary(df: DataFrame) -> DataFrame:
+    """A row a column: name, type, and how many rows have a value in it, of how many."""
+    counts = df.agg(F.count("*").alias("_rows"), *[F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(df.columns)])
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(kind).alias("type"), F.col(f"_n{i}").alias("n_values"), F.col("_rows").alias("n_rows")) for i, (c, kind) in enumerate(df.dtypes)])
+    return counts.select(F.inline(each))
+
+
+def sample_calls(traffic: DataFrame, targets: tuple[str, ...], n: int = 1, preview: int = 2000) -> DataFrame:
+    """The first n calls to the hosts by id: url, status, and the start of both bodies, decoded as far as they are UTF-8."""
+    from ..operators.extract import host_matches, lenient
+
+    rows = traffic.where(host_matches(lenient(F.col("request_host")), targets)).orderBy("id").limit(n)
+    body = lambda c: F.substring(lenient(F.col(c)), 1, preview).alias(c)
+    return rows.select("id", lenient(F.col("request_url")).alias("request_url"), "response_status_code", body("request_content"), body("response_content"))

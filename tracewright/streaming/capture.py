@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.extract import TARGET_HOSTS, extract_traces
@@ -23,6 +24,12 @@ def capture_rows(exchanges: DataFrame) -> DataFrame:
     return exchanges.select(*[made.get(n, F.col(n)) for n in names])
 
 
+def capture_sink(exchanges: DataFrame, folder: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Exchanges appended to the traffic folder as Parquet; each once, as the checkpoint remembers what was written."""
+    out = capture_rows(exchanges).writeStream.format("parquet").outputMode("append").option("path", folder).option("checkpointLocation", checkpoint)
+    return (out.trigger(availableNow=True) if available_now else out).start()
+
+
 def traffic_stream(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
     return spark.readStream.schema(HTTP_TRAFFIC).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
@@ -39,8 +46,10 @@ def stream_sessions(traces: DataFrame, key_col: str, timeout: str | None = "1 ho
     """Session and turn of each trace within its key, in order of arrival and ``ord``.
 
     A key's state is the fingerprint of its last trace, its session and turn; it
-    is dropped when the key is silent for the timeout, and never for None.  Unlike in batch, traces of
-    other keys between two turns do not break a session.
+    is dropped when the key is silent for the timeout, and never for None.  With a
+    timeout a session's name ends in @ and the ``ord`` of the first trace since the
+    key was last silent, so that a key that comes back repeats no name.  Unlike in
+    batch, traces of other keys between two turns do not break a session.
     """
     n = F.size("messages")
     rows = traces.where(F.col("messages").isNotNull() & F.col("completion").isNotNull()).select(
@@ -55,7 +64,7 @@ def stream_sessions(traces: DataFrame, key_col: str, timeout: str | None = "1 ho
         if state.hasTimedOut:
             state.remove()
             return
-        last, session, turn = state.get if state.exists else ("", 0, 0)
+        last, session, turn, since = state.get if state.exists else ("", 0, 0, -1)
         for frame in frames:
             frame = frame.sort_values("ord", kind="stable")
             out = []
@@ -65,10 +74,11 @@ def stream_sessions(traces: DataFrame, key_col: str, timeout: str | None = "1 ho
                 else:
                     session, turn = session + 1, 1
                 last = whole
-                out.append((key[0], ord_, f"session_{session:03d}", turn))
+                since = int(ord_) if since < 0 else since
+                out.append((key[0], ord_, f"session_{session:03d}" + (f"@{since}" if wait else ""), turn))
             yield pd.DataFrame(out, columns=["key", "ord", "session_id", "turn_in_session_id"])
-        state.update((last, session, turn))
+        state.update((last, session, turn, since))
         if wait:
             state.setTimeoutDuration(wait)
 
-    return rows.groupBy("key").applyInPandasWithState(step, SESSION, "last string, session int, turn int", "append", GroupStateTimeout.ProcessingTimeTimeout if wait else GroupStateTimeout.NoTimeout)
+    return rows.groupBy("key").applyInPandasWithState(step, SESSION, "last string, session int, turn int, since long", "append", GroupStateTimeout.ProcessingTimeTimeout if wait else GroupStateTimeout.NoTimeout)
