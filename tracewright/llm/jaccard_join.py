@@ -33,7 +33,7 @@ LOG_CELLS, LOG_PARTS = 18, 9
 #: Shingles in a cell with more entities than this are dealt out to so many sub-groups.
 HOT, SALTS = 200_000, 255
 #: Postings that a worker packs or takes apart at once.
-HELD = 2_000_000
+HELD = 1_000_000
 #: Postings of a group that meet in one block, and blocks of a group at most while they have no more than so many postings.
 SPLIT, MOST_BLOCKS, MOST_SPLIT = 256, 64, 200_000
 #: Cells of a set's print; rounds of one pair a posting before all pairs left are tried.
@@ -418,8 +418,8 @@ def _cross_pairs(named: DataFrame, one_each: bool) -> DataFrame:
 
     Groups over SPLIT are cut into blocks by entity, and each two blocks meet in a
     task of their own.  one_each: of each posting only the first such pair on
-    either side, so that components meet in numbers that grow with the postings;
-    else every pair.
+    either side, so that components meet in numbers that grow with the postings,
+    and the shingles (h) that had more; else every pair.
     """
     blocks = F.greatest(F.least(F.ceil(F.col("size") / SPLIT), F.lit(MOST_BLOCKS)), F.ceil(F.col("size") / MOST_SPLIT)).cast("int")
     dealt = named.withColumn("k", blocks).withColumn("own", F.pmod(F.xxhash64("e"), F.col("k")).cast("int"))
@@ -439,7 +439,7 @@ def _cross_pairs(named: DataFrame, one_each: bool) -> DataFrame:
                 # sorted by size: the partners of each entity that the length filter lets through are one slice
                 end = i + np.searchsorted(n[i:j], DEN * n[i:j] // NUM, "right")
                 todo = np.maximum(end - np.arange(i, j) - 1, 0)
-                met = np.zeros(j - i, bool)
+                met, more = np.zeros(j - i, bool), False
                 for lo, hi in _blocks(todo):
                     left = np.repeat(np.arange(i + lo, i + hi), todo[lo:hi])
                     off = np.arange(len(left)) - np.repeat(np.cumsum(todo[lo:hi]) - todo[lo:hi], todo[lo:hi])
@@ -458,12 +458,15 @@ def _cross_pairs(named: DataFrame, one_each: bool) -> DataFrame:
                         late, at = np.unique(right, return_index=True)
                         first[at[~met[late - i]]] = True
                         met[late - i] = True
+                        more |= not first.all()
                         left, right = left[first], right[first]
                     if len(left):
                         left, right = e[left], e[right]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right))], names=["a", "b"])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right)), pa.nulls(len(left), pa.int64())], names=["a", "b", "h"])
+                if more:
+                    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([h[i]], pa.int64())], names=["a", "b", "h"])
 
-    return dealt.repartition("h", "cell").sortWithinPartitions("h", "cell").mapInArrow(run, "a long, b long")
+    return settle(dealt.repartition("h", "cell").sortWithinPartitions("h", "cell").mapInArrow(run, "a long, b long, h long"))
 
 
 def _blocks(todo: np.ndarray, most: int = 1 << 17) -> Iterator[tuple[int, int]]:
@@ -590,7 +593,7 @@ def components(links: DataFrame) -> DataFrame:
 def _links(docs: DataFrame, entities: DataFrame, repeated: bool, clashes: np.ndarray, cells: np.ndarray, text_col: str, id_col: str) -> DataFrame | None:
     """Entity and least entity of its component, of all entities with links; None if there are none."""
     postings = entities.agg(F.sum(F.floor(F.col("n") / 4) + 1)).first()[0] or 0
-    ranges = max(16, -(-int(postings) // HELD))
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(postings) // HELD))
     met = _meeting(_postings(docs, cells, clashes, ranges, text_col), ranges)
     meeting = met.where("h is not null").select("h", "e", "n", "p")
     tried, links, roots = None, None, None
@@ -615,7 +618,9 @@ def _links(docs: DataFrame, entities: DataFrame, repeated: bool, clashes: np.nda
         named = _open(meeting, none if roots is None else roots, entities)
         if not named.limit(1).count():
             break
-        verify(settle(_cross_pairs(named, k < ROUNDS).distinct().join(tried, ["a", "b"], "left_anti")))
+        crossed = _cross_pairs(named, k < ROUNDS)
+        verify(settle(crossed.where("a is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")))
+        meeting = meeting.join(crossed.where("h is not null").select("h").distinct(), "h", "left_semi")
     return roots
 
 
