@@ -35,7 +35,7 @@ PER, SEED = 10_000, 20
 #: Where k is not given: the part of good calibration documents that may weigh less than the least of the k documents before noise.
 REFUSED = 0.01
 #: Text worked on at once.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 #: What runs of ASCII signs are split from: all else becomes a space.
 SIGNS = np.array([c if 32 < c < 127 and not chr(c).isalnum() else 32 for c in range(256)], np.uint8)
 _PAIR, _STEP, _AGAIN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x100000001B3), np.uint64(0x2545F4914F6CDD1D)
