@@ -27,7 +27,7 @@ PLACEHOLDER = r"(?i)(example|sample|changeme|placeholder|dummy|your|xxxx|\*\*\*\
 #: different characters, or two thirds of its length if that is less.
 MAX_OWNERS, MIN_DISTINCT = 2, 8
 REDACTED = "[SECRET]"
-_SAME = "_tracewright_same"
+_LIVE = "_tracewright_live"
 KINDS = tuple(k for k, *_ in (*BASE, BARE))
 
 
@@ -144,18 +144,20 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "so
     text = F.coalesce(docs[text_col], F.lit(""))
     same = docs[id_col].eqNullSafe(live["_k0"]) & docs[owner_col].cast("string").eqNullSafe(live["_k1"]) & docs[repo_col].cast("string").eqNullSafe(live["_k2"])
     joined = docs.join(live, same & (F.xxhash64(text, F.length(text)) == live["_k3"]), "left")
-    mine, new = live["_live"], text
-    for kind, pattern, group, _ in (*BASE, BARE):
-        parts, hits = F.split(new, pattern, -1), F.regexp_extract_all(new, F.lit(pattern), F.lit(0))
-        values = F.regexp_extract_all(new, F.lit(pattern), F.lit(group))
+    out = joined.select(*[docs[c].alias(c) for c in docs.columns], live["_live"].alias(_LIVE)).withColumn(f"{_LIVE}_0", F.coalesce(F.col(text_col), F.lit("")))
+    mine = F.col(_LIVE)
+    for k, (_, pattern, group, _) in enumerate((*BASE, BARE)):  # a projection for each kind, so that no expression holds the one before it several times
+        old = F.col(f"{_LIVE}_{k}")
+        parts, hits = F.split(old, pattern, -1), F.regexp_extract_all(old, F.lit(pattern), F.lit(0))
+        values = F.regexp_extract_all(old, F.lit(pattern), F.lit(group))
         changed = F.zip_with(hits, values, lambda m, v: F.when(F.array_contains(mine, F.sha2(v, 256)), F.replace(m, v, F.lit(REDACTED))).otherwise(m))
-        new = F.when(new.rlike(pattern), F.array_join(F.zip_with(parts, F.concat(changed, F.array(F.lit(""))), lambda p, m: F.concat(p, m)), "")).otherwise(new)
-    new = F.when(mine.isNull(), docs[text_col]).otherwise(new)
-    columns = {c: docs[c] for c in docs.columns} | {text_col: new}
-    out = joined.select(*[x.alias(c) for c, x in columns.items()], mine.isNull().alias(_SAME))
+        new = F.array_join(F.zip_with(parts, F.concat(changed, F.array(F.lit(""))), lambda p, m: F.concat(p, m)), "")
+        out = out.withColumn(f"{_LIVE}_{k + 1}", F.when(mine.isNull(), old).when(old.rlike(pattern), new).otherwise(old))
+    last = f"{_LIVE}_{len(BASE) + 1}"
+    out = out.withColumn(text_col, F.when(mine.isNull(), F.col(text_col)).otherwise(F.col(last)))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col(_SAME), F.col("n_chars")).otherwise(F.length(text_col).cast(docs.schema["n_chars"].dataType)))
-    return out.drop(_SAME)
+        out = out.withColumn("n_chars", F.when(mine.isNull(), F.col("n_chars")).otherwise(F.length(last).cast(docs.schema["n_chars"].dataType)))
+    return out.select(*docs.columns)
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
