@@ -6,10 +6,11 @@ import sqlite3
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..checkpoints import number_rows
 from ..schemas import HTTP_TRAFFIC
 
 
@@ -28,36 +29,41 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | None = Non
     """
     if not _exists(spark, path):
         raise FileNotFoundError(path)
-    reader = spark.read.option("mode", "FAILFAST" if mode == "strict" else "DROPMALFORMED")
+    strict = mode == "strict"
     if schema is None:
-        inferred = spark.read.option("mode", "FAILFAST" if mode == "strict" else "DROPMALFORMED").json(path)
-        schema = inferred.schema
+        schema = spark.read.option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(path).schema
         if not schema.fields:
             return spark.createDataFrame([], T.StructType([T.StructField("ord", T.LongType())]))
-    if mode == "strict":
-        check_types(spark, path, schema)
-    rows = reader.schema(schema).json(path)
+    # the lines are read once: parsed, judged and numbered before the settled rows are asked for bad ones
     place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    rows = rows.withColumn("_place", place)
-    from ..checkpoints import number_rows
-
-    out = number_rows(rows, "_place", name="ord").drop("_place")
+    rows = spark.read.text(path).select("value", place.alias("_place")).where(F.col("value").rlike(r"\S"))
+    shape = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    rows = rows.withColumn("_line", F.from_json("value", shape, {"columnNameOfCorruptRecord": _CORRUPT}))
+    broken = F.col("_line").isNull() | F.col("_line").getField(_CORRUPT).isNotNull()
+    rows = rows.withColumn("_bad", broken | _other_type(F.try_parse_json("value"), schema)) if strict else rows.where(~broken)
+    fields = [F.col("_line").getField(f.name).alias(f.name) for f in schema.fields]
+    out = number_rows(rows.select("_place", *["_bad"] * strict, *fields), "_place", name="ord").drop("_place")
+    if strict:
+        if out.where("_bad").limit(1).count():
+            raise ValueError(f"{path}: a line is not JSON or has a value of another type than its field")
+        out = out.drop("_bad")
     return out.where(F.col("ord") < limit) if limit and limit > 0 else out
 
 
-def check_types(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """A ValueError if a top-level value is of another kind than its field: numbers are no strings here."""
+_CORRUPT = "_tracewright_corrupt"
+
+
+def _other_type(line: Column, schema: T.StructType) -> Column:
+    """Is the line no JSON, or a top-level value of another kind than its field?  Numbers are no strings here."""
     wanted = {T.StringType: "STRING", T.LongType: "BIGINT", T.IntegerType: "BIGINT", T.BooleanType: "BOOLEAN", T.ArrayType: "ARRAY", T.StructType: "OBJECT"}
-    lines = spark.read.text(path).where(F.trim("value") != "").select(F.try_parse_json("value").alias("v"))
-    bad = F.col("v").isNull()
+    bad = line.isNull()
     for field in schema.fields:
         kind = wanted.get(type(field.dataType))
         if kind and field.name != "ord":
-            value = F.try_variant_get("v", f"$['{field.name}']", "variant")
+            value = F.try_variant_get(line, f"$['{field.name}']", "variant")
             got = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
             bad = bad | F.coalesce(~got.isin(kind, "VOID"), F.lit(False))
-    if lines.where(bad).limit(1).count():
-        raise ValueError(f"{path}: a line is not JSON or has a value of another type than its field")
+    return bad
 
 
 def read_traffic(spark: SparkSession, path: str) -> DataFrame:
