@@ -174,6 +174,11 @@ def test_jsonl_reading(spark, tmp_path):
     for path in (bad, mixed):
         with pytest.raises(ValueError):
             readers.read_jsonl(spark, str(path), schema)
+    odd = tmp_path / "odd.jsonl"
+    odd.write_text('\n{"id": "x", "text": "a"}\n \t\n{"id": 5, "text": "b", "more": 1}\n{"id": null}\n')
+    assert [tuple(r) for r in readers.read_jsonl(spark, str(odd), schema, mode="lenient").orderBy("ord").collect()] == [(5, "b", 0), (None, None, 1)]
+    with pytest.raises(ValueError, match="odd.jsonl"):
+        readers.read_jsonl(spark, str(odd), schema)
     with pytest.raises(FileNotFoundError):
         readers.read_jsonl(spark, str(tmp_path / "none"))
     writers.write_jsonl(readers.read_jsonl(spark, str(good)).orderBy("ord").drop("ord"), str(tmp_path / "out"), single=True)
