@@ -226,6 +226,29 @@ def test_lm_filters_grow_with_their_keys_and_are_scored_slice_by_slice(spark, mo
     assert lm_score.log_width(1_200_000_000 >> 13, 14) + 13 >= 33  # bigram keys expected at 30 GB, in 2**13 ranges
 
 
+def test_lm_filters_pass_the_driver_in_pieces_and_are_probed_in_blocks(spark, monkeypatch):
+    rng = random.Random(10)
+    df = spark.createDataFrame([(k, " ".join(f"w{rng.randrange(3000)}" for _ in range(200)), "s", None) for k in range(60)], SCHEMA).repartition(3)
+    vocabulary = lm_score.count_words(df, "text")
+    unigrams = lm_score.unigram_filter(vocabulary, 60)
+    want, weight = lm_score.bigram_filter(df, "text", 60 * 201, unigrams)
+    keys = [rng.getrandbits(64) for _ in range(500)]
+    probed, sizes, has, collect = want.levels(np.array(keys, np.uint64)), [], lm_score.Bloom.has, type(df).collect
+
+    def collected(self):
+        rows = collect(self)
+        assert sum(len(x) for r in rows for x in r if isinstance(x, bytes | bytearray)) < 1 << 16, "a filter came whole"
+        return rows
+
+    monkeypatch.setattr(type(df), "collect", collected)
+    monkeypatch.setattr(lm_score, "AT_ONCE", 1 << 13, raising=False)
+    monkeypatch.setattr(lm_score, "PROBED", 64, raising=False)
+    monkeypatch.setattr(lm_score.Bloom, "has", lambda self, keys: (sizes.append(len(keys)), has(self, keys))[1])
+    again, same = lm_score.bigram_filter(df, "text", 60 * 201, lm_score.unigram_filter(vocabulary, 60))
+    assert (again.slices[0].value == want.slices[0].value).all() and again.fill == want.fill and (same == weight).all()
+    assert (again.levels(np.array(keys, np.uint64)) == probed).all() and max(sizes) <= 64
+
+
 def brute_scores(rows):
     """The score by exact counts, quantised as the filters quantise them."""
     held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1

@@ -34,6 +34,8 @@ END, START = b" end", b" start"
 BASE, HASHES, LOG_PARTS = 1.5, 3, 8
 #: Part of a filter's bits that its keys set at most, least bits of a part, bits of the slice that a worker holds.
 FILL, LOG_LEAST, LOG_SLICE = 1 / 3, 14, 28
+#: Bytes of a filter that pass the driver at once, a part at least; n-grams that are probed at once.
+AT_ONCE, PROBED = 4 << 20, 1 << 18
 #: Most words in the head.
 HEAD = 300_000
 #: What a counting worker holds before it passes it on: words, bigrams.
@@ -67,14 +69,15 @@ def level_keys(keys: np.ndarray, q: int, log_parts: int = LOG_PARTS) -> np.ndarr
 
 
 def probe(bloom: Bloom, keys: np.ndarray) -> np.ndarray:
-    """Levels by probing 1, 2, ... until a miss."""
+    """Levels by probing 1, 2, ... until a miss; PROBED n-grams at a time, as probing takes many times their size."""
     out = np.zeros(len(keys), np.int64)
-    at = np.arange(len(keys))
-    q = 1
-    while len(at) and q < len(MEANS):
-        at = at[bloom.has(level_keys(keys[at], q, bloom.log_parts))]
-        out[at] = q
-        q += 1
+    for start in range(0, len(keys), PROBED):
+        at = np.arange(start, min(start + PROBED, len(keys)))
+        q = 1
+        while len(at) and q < len(MEANS):
+            at = at[bloom.has(level_keys(keys[at], q, bloom.log_parts))]
+            out[at] = q
+            q += 1
     return out
 
 
@@ -132,7 +135,8 @@ def slice_filter(parts: DataFrame, log_parts: int, keys: int) -> Sliced:
     """Settled rows (part, width, bits) as a filter, one slice after the other through the driver.
 
     The width comes from all keys; parts come wider, as a part alone does not know
-    it, and are folded.
+    it, and are folded before they travel.  They reach the driver in their order,
+    AT_ONCE bytes a job, so that it holds one slice beside them.
     """
     context = parts.sparkSession.sparkContext
     width = log_width(keys >> log_parts, LOG_LEAST)
@@ -140,11 +144,23 @@ def slice_filter(parts: DataFrame, log_parts: int, keys: int) -> Sliced:
     log_bits = width + log_parts
     cut = min(log_parts, max(0, log_bits - LOG_SLICE))
     held, step, ones, slices = 1 << (log_parts - cut), 1 << (width - 3), 0, []
+    together = max(1, min(held, AT_ONCE // step))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, bits in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                folded = np.bitwise_or.reduce(np.frombuffer(bits.as_buffer(), np.uint8).reshape(-1, step), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([folded.tobytes()], pa.binary())], names=["part", "bits"])
+
+    folded = parts.select("part", "bits").mapInArrow(fold, "part long, bits binary")
+    rows = folded.repartitionById((1 << log_parts) // together, F.floor(F.col("part") / together).cast("int")).toLocalIterator()
+    row = next(rows, None)
     for k in range(1 << cut):
         bits = np.zeros(held * step, np.uint8)
-        for row in parts.where(F.col("part").between(k * held, (k + 1) * held - 1)).collect():  # a slice at a time, at twice its width
+        while row is not None and row["part"] < (k + 1) * held:
             at = (row["part"] - k * held) * step
-            bits[at : at + step] = np.bitwise_or.reduce(np.frombuffer(row["bits"], np.uint8).reshape(-1, step), axis=0)
+            bits[at : at + step] = np.frombuffer(row["bits"], np.uint8)
+            row = next(rows, None)
         ones += int(np.bitwise_count(bits).sum(dtype=np.int64))
         slices.append(context.broadcast(bits))
     return Sliced(slices, log_bits, log_parts, ones / (1 << log_bits))
