@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,3 +101,18 @@ def test_streams_give_what_batch_gives(spark, tmp_path):
     assert q.awaitTermination(60)
     got = sorted(tuple(r) for r in spark.sql("SELECT * FROM sessions").collect())
     assert got == [("j", 1, "session_001", 1), ("k", 0, "session_001", 1), ("k", 2, "session_001", 2), ("k", 3, "session_002", 1)]
+
+
+def test_settled_rows_leave_no_shuffle_behind(spark):
+    from tracewright import checkpoints
+
+    shuffles = lambda: {x.strip("(,)") for x in str(spark._jsparkSession.sparkContext().env().blockManager().diskBlockManager().getAllBlocks()).removeprefix("ArraySeq").split() if "shuffle_" in x}
+    before = shuffles()
+    frame = spark.range(1000).repartition(7, "id")
+    rows = checkpoints.settle(frame)
+    waited = time.time() + 5
+    while shuffles() - before and time.time() < waited:
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert rows.count() == 1000 and frame.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

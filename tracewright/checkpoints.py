@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,10 +28,42 @@ def checkpoint_folder(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+#: Seconds between two releases at least; when the last one was.
+PAUSE = 2.0
+_released = 0.0
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver collect its garbage, at most every PAUSE seconds.
+
+    Spark deletes broadcasts and settled rows that nothing needs any more only once
+    the driver's JVM finds their handles dead, and that JVM gives memory back only
+    then; left to itself it does neither before its heap is full.
+    """
+    global _released
+    if time.monotonic() - _released >= PAUSE:
+        spark.sparkContext._jvm.System.gc()
+        _released = time.monotonic()
+
+
+#: Spark's switch for deleting the shuffle files of a query as it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """The rows written once to the shared folder, so that later stages neither recompute nor lose them."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows written once to the shared folder, so that later stages neither recompute nor lose them.
+
+    They need no shuffle files any more, so those go as soon as the rows are written.
+    """
+    spark = df.sparkSession
+    checkpoint_folder(spark)
+    release(spark)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # planned anew, as a plan has the switch from its beginning
+    finally:
+        spark.conf.set(_CLEANUP, before)
 
 
 def number_rows(df: DataFrame, *order: str, name: str = "idx") -> DataFrame:
