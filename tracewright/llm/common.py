@@ -7,9 +7,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..checkpoints import checkpoint_folder, settle
+from ..checkpoints import checkpoint_folder, release, settle
 
-__all__ = ["BATCH_BYTES", "BATCH_ROWS", "SPACE", "let", "settle", "shared_folder", "small", "small_batches", "table", "words"]
+__all__ = ["BATCH_BYTES", "BATCH_ROWS", "SPACE", "let", "release", "settle", "shared_folder", "small", "small_batches", "table", "words"]
 
 #: ASCII white space, the separators of words: space and U+0009 to U+000D.
 SPACE = r"[\x20\x09-\x0D]+"

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import settle, small, small_batches, table
+from .common import release, settle, small, small_batches, table
 from .hashing import chunks, mix, plain_hashes
 
 #: Words of a passage and of half a window, latent dimensions, extra columns and rounds of the randomised SVD.
@@ -133,6 +133,8 @@ def randomized_svd(spark: SparkSession, passages: list[tuple[np.ndarray, np.ndar
         y = np.zeros((len(passages), columns))
         for row in rows.mapInArrow(run, "k int, y binary").collect():
             y[row["k"]] = np.frombuffer(row["y"])
+        shared.destroy()
+        release(spark)
         return y
 
     def transposed(left: np.ndarray) -> np.ndarray:
@@ -149,6 +151,8 @@ def randomized_svd(spark: SparkSession, passages: list[tuple[np.ndarray, np.ndar
         z = np.zeros((len(vocabulary), columns))
         for row in rows.mapInArrow(run, "z binary").collect():
             z += np.frombuffer(row["z"]).reshape(z.shape)
+        shared.destroy()
+        release(spark)
         return z
 
     y = times(None)
