@@ -249,6 +249,34 @@ def test_lm_filters_pass_the_driver_in_pieces_and_are_probed_in_blocks(spark, mo
     assert (again.levels(np.array(keys, np.uint64)) == probed).all() and max(sizes) <= 64
 
 
+def test_lm_workers_hold_few_bytes_a_bigram(spark, monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+    from tracewright.llm import hashing
+
+    rng = random.Random(11)
+    rows = [(k, " ".join(f"w{rng.randrange(3000)}" for _ in range(2000)), "s", None) for k in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    monkeypatch.setattr(lm_score, "LOG_SLICE", 20)
+    monkeypatch.setattr(lm_score, "PROBED", 1 << 12)
+    monkeypatch.setattr(lm_score, "HELD_BIGRAMS", 500_000)
+    ran, mapped = {}, type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, *a, **k: (ran.update({f.__name__: f}), mapped(self, f, *a, **k))[1])
+    lm_score.lm_score(df)
+    monkeypatch.setattr(hashing, "CHUNK_ROWS", 2)
+    texts = pa.array([r[1] for r in rows])
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([False] * len(rows)), texts], names=["doc_id", "held_out", "_text"])
+    peaks = {}
+    for name, given in (("run", batch), ("count", pa.RecordBatch.from_arrays([texts], names=["text"]))):
+        tracemalloc.start()
+        for _ in ran[name](iter([given])):
+            pass
+        peaks[name] = tracemalloc.get_traced_memory()[1] / (300 * 2001)
+        tracemalloc.stop()
+    assert peaks["run"] < 25 and peaks["count"] < 35, peaks
+
+
 def brute_scores(rows):
     """The score by exact counts, quantised as the filters quantise them."""
     held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1

@@ -40,6 +40,8 @@ AT_ONCE, PROBED = 4 << 20, 1 << 18
 HEAD = 300_000
 #: What a counting worker holds before it passes it on: words, bigrams.
 HELD_WORDS, HELD_BIGRAMS = 600_000, 3_000_000
+#: Where pieces of sorted bigrams begin that are packed at once; a range, named by more top bits, lies in one of them.
+_PIECES = np.arange(1, 16, dtype=np.uint64) << np.uint64(60)
 #: Low bits of a bigram key that give way to the level of its context on the way.
 _LEVEL_BITS = 7
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -70,7 +72,7 @@ def level_keys(keys: np.ndarray, q: int, log_parts: int = LOG_PARTS) -> np.ndarr
 
 def probe(bloom: Bloom, keys: np.ndarray) -> np.ndarray:
     """Levels by probing 1, 2, ... until a miss; PROBED n-grams at a time, as probing takes many times their size."""
-    out = np.zeros(len(keys), np.int64)
+    out = np.zeros(len(keys), np.uint8)
     for start in range(0, len(keys), PROBED):
         at = np.arange(start, min(start + PROBED, len(keys)))
         q = 1
@@ -102,23 +104,36 @@ class Sliced:
     fill: float  # part of all bits that is set
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
-        """Levels of n-grams; a slice is read where it is needed and not kept, unless it is the only one."""
+        """Levels of n-grams."""
+        return self.levels_of([keys])[0]
+
+    def levels_of(self, blocks: list[np.ndarray]) -> list[np.ndarray]:
+        """Levels of n-grams in blocks, a byte each.
+
+        A slice is read where it is needed, once for all blocks, and not kept, unless
+        it is the only one; beside it and the levels, only numbers of one block are held.
+        """
         cut = len(self.slices).bit_length() - 1
         if not cut:
-            return probe(Bloom(self.slices[0].value, self.log_bits, self.log_parts, HASHES), keys)
-        out = np.zeros(len(keys), np.int64)
-        slices = (keys >> np.uint64(64 - cut)).astype(np.int64)
-        order = np.argsort(slices, kind="stable")
-        ends = np.searchsorted(slices[order], np.arange(len(self.slices) + 1))
+            whole = Bloom(self.slices[0].value, self.log_bits, self.log_parts, HASHES)
+            return [probe(whole, keys) for keys in blocks]
+        out = [np.zeros(len(keys), np.uint8) for keys in blocks]
         for k, shared in enumerate(self.slices):
-            at = order[ends[k] : ends[k + 1]]
-            if len(at):
-                bits = shared.value
-                if getattr(shared, "_path", None):  # it can be read from there again
-                    shared.__dict__.pop("_value", None)
-                out[at] = probe(_Slice(bits, self.log_bits, self.log_parts, HASHES, k, cut), keys[at])
+            held = None
+            for keys, found in zip(blocks, out, strict=True):
+                at = np.flatnonzero(keys >> np.uint64(64 - cut) == k)
+                if len(at):
+                    held = held or _Slice(self._read(shared), self.log_bits, self.log_parts, HASHES, k, cut)
+                    found[at] = probe(held, keys[at])
         return out
 
+    @staticmethod
+    def _read(shared: Broadcast) -> np.ndarray:
+        bits = shared.value
+        if getattr(shared, "_path", None):  # it can be read from there again
+            shared.__dict__.pop("_value", None)
+        return bits
+
 
 class _Slice(Bloom):
     """The part of a filter whose keys have these top bits."""
@@ -238,22 +253,24 @@ def bigram_filter(train: DataFrame, text_col: str, tokens: int, unigrams: Sliced
         held: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
-            keys = np.concatenate(held) if held else np.zeros(0, np.uint64)
+            every = np.concatenate(held) if held else np.zeros(0, np.uint64)
             held.clear()
-            keys.sort()
-            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-            n, keys = np.diff(np.r_[starts, len(keys)]), keys[starts]
-            ranges = (keys >> low).astype(np.int64)
-            cuts = np.flatnonzero(np.r_[True, ranges[1:] != ranges[:-1]]) if len(keys) else np.zeros(0, np.int64)
-            rest = ((keys << np.uint64(log_ranges)) >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-            context = (keys & mask).astype(np.uint8)
-            blobs, more, levels = [], [], []
-            for a, b in zip(cuts, np.append(cuts, len(keys))[1:], strict=True):
-                blobs.append(np.ascontiguousarray(rest[a:b]).tobytes())
-                levels.append(context[a:b].tobytes())
-                often = np.flatnonzero(n[a:b] > 1)
-                more.append(np.r_[often, n[a:b][often]].astype(np.int32).tobytes())
-            return pa.RecordBatch.from_arrays([pa.array(ranges[cuts], pa.int64()), *(pa.array(x, pa.binary()) for x in (blobs, more, levels))], names=["r", "keys", "more", "levels"])
+            every.sort()
+            numbers, blobs, more, levels = [], [], [], []
+            for keys in np.split(every, np.searchsorted(every, _PIECES)):  # what packing takes beside the keys is held for a piece
+                starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+                n, keys = np.diff(np.r_[starts, len(keys)]), keys[starts]
+                ranges = (keys >> low).astype(np.int64)
+                cuts = np.flatnonzero(np.r_[True, ranges[1:] != ranges[:-1]]) if len(keys) else np.zeros(0, np.int64)
+                rest = ((keys << np.uint64(log_ranges)) >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+                context = (keys & mask).astype(np.uint8)
+                numbers += ranges[cuts].tolist()
+                for a, b in zip(cuts, np.append(cuts, len(keys))[1:], strict=True):
+                    blobs.append(np.ascontiguousarray(rest[a:b]).tobytes())
+                    levels.append(context[a:b].tobytes())
+                    often = np.flatnonzero(n[a:b] > 1)
+                    more.append(np.r_[often, n[a:b][often]].astype(np.int32).tobytes())
+            return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), *(pa.array(x, pa.binary()) for x in (blobs, more, levels))], names=["r", "keys", "more", "levels"])
 
         for batch in batches:
             texts = batch.column(0)
@@ -378,7 +395,7 @@ def lm_score(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
         head_counts = np.append(head_counts, 0)
         for batch in batches:
             texts = batch.column(2)
-            waiting, columns = [], []  # bigrams of the whole batch are probed together, so that a slice is read once for them
+            keys, waiting, columns = [], [], []  # bigrams of the whole batch are probed together, so that a slice is read once for them
             for part in chunks(texts):
                 at, words, n = split_words(texts[part])
                 words, size = words.cast(pa.binary()), len(n)
@@ -397,16 +414,17 @@ def lm_score(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
                 columns.append((part, pa.array(n + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.ListArray.from_arrays(pa.array(offsets), tail)))
 
                 h = np.concatenate([token_hashes([END, START]), token_hashes(words)])
-                levels = unigrams.levels(mix(h)).astype(np.uint8)
-                now, before, of = _with_ends(at + 2, n, 0, 1)
-                waiting.append((truncated(bigram_keys(h[before], h[now]), tokens), levels[now], levels[before], of.astype(np.int32)))
-            found = bigrams.levels(np.concatenate([w[0] for w in waiting])) if waiting else np.zeros(0, np.int64)
-            ends_at = np.cumsum([len(w[0]) for w in waiting])
-            for (part, n, known, base, tail), (keys, now, before, of), end in zip(columns, waiting, ends_at, strict=True):
+                levels = unigrams.levels(mix(h))
+                now, before, _ = _with_ends(at + 2, n, 0, 1)
+                keys.append(truncated(bigram_keys(h[before], h[now]), tokens))
+                waiting.append((levels[now], levels[before]))
+            found = bigrams.levels_of(keys)
+            keys.clear()
+            for (part, n, known, base, tail), (now, before), both in zip(columns, waiting, found, strict=True):
                 c_now, c_before = MEANS[now], MEANS[before]
-                pair = np.minimum(MEANS[found[end - len(keys) : end]], np.minimum(c_now, c_before))
+                pair = np.minimum(MEANS[both], np.minimum(c_now, c_before))
                 chance = weight[before] * pair / np.maximum(c_before, 1) + (1 - weight[before]) * (c_now + 0.5) / below
-                score = np.bincount(of, np.log10(chance), len(n))
+                score = np.bincount(np.repeat(np.arange(len(n)), n.to_numpy()), np.log10(chance), len(n))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[part], batch.column(1)[part], n, known, base, pa.array(score), tail],
                     names=["doc_id", "held_out", "n_tokens", "known", "base", "score", "tail"],
