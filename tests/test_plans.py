@@ -116,3 +116,31 @@ def test_settled_rows_leave_no_shuffle_behind(spark):
     assert not shuffles() - before
     assert rows.count() == 1000 and frame.count() == 1000
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_released_native_memory_goes_back_to_the_system(spark, monkeypatch):
+    import re
+    import time
+    from pathlib import Path
+
+    from tracewright import checkpoints
+
+    jvm = spark.sparkContext._jvm
+    rollup = Path(jvm.java.io.File("/proc/self").getCanonicalPath()) / "smaps_rollup"
+    resident = lambda: sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", rollup.read_text()))) / 1024
+
+    monkeypatch.setattr(checkpoints, "PAUSE", 0.0)
+    jvm.System.gc()
+    held = [jvm.java.util.zip.Deflater() for _ in range(1000)]  # each has some 200 KB outside the heap
+    full = resident()
+    for k, one in enumerate(held):
+        if k % 10:
+            one.end()  # those that stay keep the allocator from shrinking by itself
+    jvm.System.gc()
+    time.sleep(1)
+    kept = resident()
+    checkpoints.release(spark)
+    after = resident()
+    for one in held[::10]:
+        one.end()
+    assert after < kept - 40, (full, kept, after)

@@ -7,6 +7,7 @@ import tempfile
 import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,18 +35,34 @@ _released = 0.0
 
 
 def release(spark: SparkSession) -> None:
-    """Let the driver collect its garbage, at most every PAUSE seconds.
+    """Let the driver collect its garbage and give free memory back, at most every PAUSE seconds.
 
     Spark deletes broadcasts and settled rows that nothing needs any more only once
     the driver's JVM finds their handles dead, and that JVM gives memory back only
-    then; left to itself it does neither before its heap is full.
+    then; left to itself it does neither before its heap is full.  What is freed
+    outside the heap, by compiling each plan's code above all, stays with the C
+    library's allocator, more after every plan, until that is told to trim.
     """
     global _released
     if time.monotonic() - _released >= PAUSE:
         spark.sparkContext._jvm.System.gc()
+        _trim(spark)
         _released = time.monotonic()
 
 
+def _trim(spark: SparkSession) -> None:
+    """Have the driver's JVM return free native memory to the system, where it has a command for that (OpenJDK from 17.0.9, on Linux)."""
+    jvm = spark.sparkContext._jvm
+    # the server's class is closed to reflection, its interface is open
+    invoke = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+    args = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 4)
+    args[0], args[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+    try:
+        invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+    except Py4JJavaError:
+        pass  # this JVM has no such command; its allocator keeps what it has
+
+
 #: Spark's switch for deleting the shuffle files of a query as it ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
