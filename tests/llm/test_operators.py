@@ -277,6 +277,50 @@ def test_lm_workers_hold_few_bytes_a_bigram(spark, monkeypatch):
     assert peaks["run"] < 25 and peaks["count"] < 35, peaks
 
 
+def test_lm_workers_give_memory_back_and_pass_bigrams_on_in_pieces(spark, monkeypatch):
+    import pathlib
+    import subprocess
+    import sys
+
+    import pyarrow as pa
+    from pyspark import cloudpickle
+
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(100_000)}" for _ in range(1000)) for _ in range(300)]
+    df = spark.createDataFrame([(k, t, "s", None) for k, t in enumerate(texts)], SCHEMA)
+    ran, mapped = [], type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, *a, **k: (ran.append(f), mapped(self, f, *a, **k))[1])
+    lm_score.lm_score(df)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    count = next(f for f in ran if f.__name__ == "count")
+    sizes = [b.nbytes for b in count(iter([batch]))]
+    assert len(sizes) == 16 and max(sizes) < sum(sizes) / 12
+    given, steps, levels_of = [], [], lm_score.Sliced.levels_of
+    monkeypatch.setattr(lm_score, "give_back", lambda: steps.append("give back"), raising=False)
+    monkeypatch.setattr(lm_score.Sliced, "levels_of", lambda self, blocks: (steps.append("probe"), levels_of(self, blocks))[1])
+    for k in range(2):
+        given.append(pa.RecordBatch.from_arrays([pa.array([k]), pa.array([False]), pa.array(texts[k : k + 1])], names=["doc_id", "held_out", "_text"]))
+    assert sum(b.num_rows for b in ran[-1](iter(given))) == 2 and steps == ["probe", "give back", "probe"] * 2  # words, then bigrams
+    code = """
+import pathlib, pickle, random, re, sys
+import pyarrow as pa
+words = pickle.load(sys.stdin.buffer)
+held = lambda: int(re.search("RssAnon:\\s+([0-9]+)", pathlib.Path("/proc/self/status").read_text())[1]) >> 10
+def given(n):
+    rng = random.Random(5)
+    for _ in range(n):
+        yield pa.RecordBatch.from_arrays([pa.array([" ".join([f"w{rng.getrandbits(22)}" for _ in range(1000)]) for _ in range(1000)])], names=["text"])
+for n in (0, 0, 3):
+    before = held()
+    assert sum(b.num_rows for b in words(given(n))) == 0 or n
+print(held() - before)
+"""
+    if pathlib.Path("/proc/self/status").exists():  # else not Linux
+        kept = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(ran[0]), capture_output=True, check=True, env={"PYTHONPATH": ":".join(sys.path)}).stdout
+        assert int(kept) < 90, f"an idle worker keeps {int(kept)} MB"
+    assert all(hasattr(f, "__wrapped__") for f in ran)
+
+
 def brute_scores(rows):
     """The score by exact counts, quantised as the filters quantise them."""
     held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1

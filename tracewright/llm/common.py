@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..checkpoints import checkpoint_folder, release, settle
 
-__all__ = ["BATCH_BYTES", "BATCH_ROWS", "SPACE", "let", "release", "settle", "shared_folder", "small", "small_batches", "table", "words"]
+__all__ = ["BATCH_BYTES", "BATCH_ROWS", "SPACE", "give_back", "lean", "let", "release", "settle", "shared_folder", "small", "small_batches", "table", "words"]
 
 #: ASCII white space, the separators of words: space and U+0009 to U+000D.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -39,6 +43,30 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def give_back() -> None:
+    """Have the allocators of this process return free memory to the system, those that can (Arrow's, glibc's)."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        pass  # another C library
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, after which its worker gives free memory back.
+
+    Spark keeps workers for later tasks.  Left to their allocators, they hold the most
+    that any task has needed, beside the executor's JVM, while they wait.
+    """
+
+    @functools.wraps(run)
+    def given_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return given_back
+
+
 #: Rows of ids or keys that may be broadcast: some 130 bytes each in a hash table, 33 MB together.
 BROADCAST_ROWS = 250_000
 

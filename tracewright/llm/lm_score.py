@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import settle, small_batches, table
+from .common import give_back, lean, settle, small_batches, table
 from .hashing import Bloom, chunks, mix, put_keys, split_words, token_hashes
 
 #: The end of a text, a token of its own, and what stands before the first word; no word has a space in it.
@@ -40,7 +40,7 @@ AT_ONCE, PROBED = 4 << 20, 1 << 18
 HEAD = 300_000
 #: What a counting worker holds before it passes it on: words, bigrams.
 HELD_WORDS, HELD_BIGRAMS = 600_000, 3_000_000
-#: Where pieces of sorted bigrams begin that are packed at once; a range, named by more top bits, lies in one of them.
+#: Where pieces of sorted bigrams begin that are packed, and passed on, at once; a range, named by more top bits, lies in one of them.
 _PIECES = np.arange(1, 16, dtype=np.uint64) << np.uint64(60)
 #: Low bits of a bigram key that give way to the level of its context on the way.
 _LEVEL_BITS = 7
@@ -161,6 +161,7 @@ def slice_filter(parts: DataFrame, log_parts: int, keys: int) -> Sliced:
     held, step, ones, slices = 1 << (log_parts - cut), 1 << (width - 3), 0, []
     together = max(1, min(held, AT_ONCE // step))
 
+    @lean
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, bits in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -207,12 +208,13 @@ def bigram_keys(before: np.ndarray, now: np.ndarray) -> np.ndarray:
 def count_words(train: DataFrame, text_col: str) -> DataFrame:
     """Settled: every training word and its count; ends are not words."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             if held:
-                counts = pa.concat_tables(held).group_by("token").aggregate([("c", "sum")])
+                counts = pa.concat_tables(held).group_by("token", use_threads=False).aggregate([("c", "sum")])
                 held.clear()
                 yield from pa.table({"token": counts["token"], "c": counts["c_sum"]}).to_batches()
 
@@ -249,28 +251,33 @@ def bigram_filter(train: DataFrame, text_col: str, tokens: int, unigrams: Sliced
     log_ranges = _log_ranges(tokens)
     low, least, mask = np.uint64(64 - log_ranges), LOG_LEAST, np.uint64((1 << _LEVEL_BITS) - 1)
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
-        def flush() -> pa.RecordBatch:
-            every = np.concatenate(held) if held else np.zeros(0, np.uint64)
+        def flush() -> Iterator[pa.RecordBatch]:
+            cuts = [[0, *np.searchsorted(x, _PIECES), len(x)] for x in held]
+            for k in range(len(_PIECES) + 1 if held else 0):  # what merging and packing take beside the keys is held for a piece
+                keys = np.concatenate([x[at[k] : at[k + 1]] for x, at in zip(held, cuts, strict=True)])
+                if len(keys):
+                    keys.sort()
+                    yield packed(keys)
             held.clear()
-            every.sort()
-            numbers, blobs, more, levels = [], [], [], []
-            for keys in np.split(every, np.searchsorted(every, _PIECES)):  # what packing takes beside the keys is held for a piece
-                starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-                n, keys = np.diff(np.r_[starts, len(keys)]), keys[starts]
-                ranges = (keys >> low).astype(np.int64)
-                cuts = np.flatnonzero(np.r_[True, ranges[1:] != ranges[:-1]]) if len(keys) else np.zeros(0, np.int64)
-                rest = ((keys << np.uint64(log_ranges)) >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-                context = (keys & mask).astype(np.uint8)
-                numbers += ranges[cuts].tolist()
-                for a, b in zip(cuts, np.append(cuts, len(keys))[1:], strict=True):
-                    blobs.append(np.ascontiguousarray(rest[a:b]).tobytes())
-                    levels.append(context[a:b].tobytes())
-                    often = np.flatnonzero(n[a:b] > 1)
-                    more.append(np.r_[often, n[a:b][often]].astype(np.int32).tobytes())
-            return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), *(pa.array(x, pa.binary()) for x in (blobs, more, levels))], names=["r", "keys", "more", "levels"])
+
+        def packed(keys: np.ndarray) -> pa.RecordBatch:
+            blobs, more, levels = [], [], []
+            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            n, keys = np.diff(np.r_[starts, len(keys)]), keys[starts]
+            ranges = (keys >> low).astype(np.int64)
+            cuts = np.flatnonzero(np.r_[True, ranges[1:] != ranges[:-1]])
+            rest = ((keys << np.uint64(log_ranges)) >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+            context = (keys & mask).astype(np.uint8)
+            for a, b in zip(cuts, np.append(cuts, len(keys))[1:], strict=True):
+                blobs.append(np.ascontiguousarray(rest[a:b]).tobytes())
+                levels.append(context[a:b].tobytes())
+                often = np.flatnonzero(n[a:b] > 1)
+                more.append(np.r_[often, n[a:b][often]].astype(np.int32).tobytes())
+            return pa.RecordBatch.from_arrays([pa.array(ranges[cuts]), *(pa.array(x, pa.binary()) for x in (blobs, more, levels))], names=["r", "keys", "more", "levels"])
 
         for batch in batches:
             texts = batch.column(0)
@@ -279,11 +286,14 @@ def bigram_filter(train: DataFrame, text_col: str, tokens: int, unigrams: Sliced
                 h = np.concatenate([token_hashes([END, START]), token_hashes(words)])
                 now, before, _ = _with_ends(at + 2, n, 0, 1)
                 keys = truncated(bigram_keys(h[before], h[now]), tokens)
-                held.append(keys | unigrams.levels(mix(h)).astype(np.uint64)[before])
+                keys |= unigrams.levels(mix(h)).astype(np.uint64)[before]
+                keys.sort()
+                held.append(keys)
                 if sum(map(len, held)) > HELD_BIGRAMS:
-                    yield flush()
-        yield flush()
+                    yield from flush()
+        yield from flush()
 
+    @lean
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         range_, held = None, []
 
@@ -329,6 +339,7 @@ def bigram_filter(train: DataFrame, text_col: str, tokens: int, unigrams: Sliced
 
 
 def unigram_filter(vocabulary: DataFrame, end_count: int) -> Sliced:
+    @lean
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(mix(token_hashes(batch.column(0))).view(np.int64)), batch.column(1)], names=["h", "c"])
@@ -340,6 +351,7 @@ def unigram_filter(vocabulary: DataFrame, end_count: int) -> Sliced:
     keys = words.mapInArrow(hashed, "h long, c long")
     dealt = keys.withColumn("_part", F.shiftrightunsigned("h", 64 - LOG_PARTS).cast("int")).repartition("_part")
 
+    @lean
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -390,6 +402,7 @@ def lm_score(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
     unigrams = unigram_filter(vocabulary, ends)
     bigrams, weight = bigram_filter(train, text_col, tokens, unigrams)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, head_counts = shared.value
         head_counts = np.append(head_counts, 0)
@@ -418,6 +431,7 @@ def lm_score(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
                 now, before, _ = _with_ends(at + 2, n, 0, 1)
                 keys.append(truncated(bigram_keys(h[before], h[now]), tokens))
                 waiting.append((levels[now], levels[before]))
+            give_back()  # what splitting and counting took, before a slice is read
             found = bigrams.levels_of(keys)
             keys.clear()
             for (part, n, known, base, tail), (now, before), both in zip(columns, waiting, found, strict=True):
