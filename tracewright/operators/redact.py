@@ -12,13 +12,19 @@ LEGACY = ("anonymized_messages", "anonymized_completion", "sensitive_patterns_fo
 
 
 def redact_text(df: DataFrame, text_col: str, rules=REDACTIONS) -> DataFrame:
-    """``df`` with redacted and patterns_found (in rule order) of a text column; a projection for each rule, all inside generated code."""
-    steps = [f"_tracewright_{k}" for k in range(len(rules) + 1)]
+    """``df`` with redacted and patterns_found (in rule order) of a text column; a projection for each rule, all inside generated code.
+
+    The two come out of an array of one struct: a filter on either, also one that
+    Spark infers, stops there.  Pushed below the projections it would be written out
+    in terms of the text, and each rule names its input several times.
+    """
+    steps, result = [f"_tracewright_{k}" for k in range(len(rules) + 1)], "_tracewright_result"
     out = df.withColumn(steps[0], F.col(text_col))
     for k, (name, pattern, placeholder) in enumerate(rules):
         out = out.withColumn(steps[k + 1], replaced(F.col(steps[k]), name, pattern, placeholder))
     found = F.array_compact(F.array(*[F.when(F.col(steps[k + 1]) != F.col(steps[k]), F.lit(rule[0])) for k, rule in enumerate(rules)]).cast("array<string>"))
-    return out.withColumns({"redacted": F.col(steps[-1]), "patterns_found": found}).drop(*steps)
+    out = out.withColumn(result, F.explode(F.array(F.struct(F.col(steps[-1]).alias("redacted"), found.alias("patterns_found")))))
+    return out.withColumns({"redacted": F.col(f"{result}.redacted"), "patterns_found": F.col(f"{result}.patterns_found")}).drop(result, *steps)
 
 
 def redact_traces(traces: DataFrame, rules=REDACTIONS) -> DataFrame:
