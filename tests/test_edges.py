@@ -4,6 +4,7 @@ import json
 import sqlite3
 import threading
 import time
+import tracemalloc
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
@@ -40,6 +41,37 @@ def test_failed_calls_leave_a_mark(spark):
     assert [r["llm_call_error"] for r in got] == ["Model error: 503 busy", "Unexpected error: odd", None]
 
 
+class Weighing:
+    """Answers with the most bytes that Python has held since the client was made."""
+
+    name = "weighing"
+
+    def __init__(self):
+        tracemalloc.start()
+
+    def ask(self, system, user):
+        most = tracemalloc.get_traced_memory()[1]
+        if user == "last":
+            tracemalloc.stop()
+        return str(most)
+
+
+def test_a_worker_that_asks_holds_few_prompts(spark):
+    prompt = F.when(F.col("id") < 7999, F.repeat(F.lit("x"), 4000)).otherwise("last")  # 32 MB
+    rows = spark.range(0, 8000, 1, 1).select(F.when(F.col("id") % 2 == 0, (1 << 53) + F.col("id") + 1).alias("n"), "id", prompt.alias("p"))
+    got = model_stage.ask_all(rows, "", "p", "reply", Weighing).collect()
+    assert [(r["id"], r["n"]) for r in got] == [(k, None if k % 2 else (1 << 53) + k + 1) for k in range(8000)]
+    assert max(int(r["reply"]) for r in got) < 16 << 20 and {r["reply_error"] for r in got} == {None}
+
+
+def test_null_prompts_are_not_sent_and_replies_keep_their_rows(spark):
+    rows = spark.range(0, 700, 1, 2).select("id", F.when(F.col("id") % 3 > 0, F.when(F.col("id") % 7 > 0, F.concat(F.lit("m"), "id", F.lit("@b.co"))).otherwise("fail")).alias("p"))
+    client = lambda: type("Some", (), {"ask": lambda self, system, user: Failing().ask(system, user) if user == "fail" else user.upper()})()
+    got = model_stage.ask_all(rows, "", "p", "reply", client, workers=3).orderBy("id").collect()
+    want = [(None, None) if k % 3 == 0 else (f"M{k}@B.CO", None) if k % 7 else (None, "Model error: 503 busy") for k in range(700)]
+    assert [(r["reply"], r["reply_error"]) for r in got] == want
+
+
 def test_a_write_that_fails_leaves_the_old_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     writers.replace_table(spark.range(5), path)

@@ -11,12 +11,13 @@ import json
 import re
 import urllib.error
 import urllib.request
-from collections.abc import Callable, Iterator
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +38,8 @@ CORRECTION_PROMPT = (
     "is_assistant_error_before_correction (booleans) and correction_rationale (string or null)."
 )
 CHUNK_SIZE, CHUNK_OVERLAP, WORKERS = 4000, 200, 4
+#: Prompts that a worker takes from its batch at once, for each thread; bytes of a batch.
+AHEAD, BATCH_BYTES = 16, 4 << 20
 
 
 class Client(Protocol):
@@ -98,10 +101,15 @@ class HttpClient:
 
 
 def ask_all(df: DataFrame, system: str, user_col: str, out_col: str, factory: Callable[[], Client], workers: int = WORKERS) -> DataFrame:
-    """``df`` with the model's reply to each prompt, and <out_col>_error where the call failed; null prompts are not sent."""
+    """``df`` with the model's reply to each prompt, and <out_col>_error where the call failed; null prompts are not sent.
+
+    Rows pass the worker as Arrow has them; only prompts become Python's strings, a
+    few ahead of the calls under way, so a worker holds little beside its batch.
+    """
+    _bound_batches(df.sparkSession)
     schema = T.StructType([*df.schema.fields, T.StructField(out_col, T.StringType()), T.StructField(f"{out_col}_error", T.StringType())])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = factory()
 
         def one(prompt):
@@ -115,11 +123,31 @@ def ask_all(df: DataFrame, system: str, user_col: str, out_col: str, factory: Ca
                 return None, f"Unexpected error: {e}"
 
         with ThreadPoolExecutor(workers) as pool:
-            for frame in frames:
-                replies = list(pool.map(one, [None if x is None or x != x else x for x in frame[user_col]]))
-                yield frame.assign(**{out_col: [r for r, _ in replies], f"{out_col}_error": [e for _, e in replies]})
-
-    return df.mapInPandas(run, schema)
+            for batch in batches:
+                prompts = (x.as_py() for x in batch.column(user_col))
+                answers = list(_in_order(pool, one, prompts, AHEAD * workers))
+                columns = [pa.array([a[k] for a in answers], pa.string()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], schema=pa.schema([*batch.schema, *(pa.field(n, pa.string()) for n in schema.names[-2:])]))
+
+    return df.mapInArrow(run, schema)
+
+
+def _bound_batches(spark: SparkSession) -> None:
+    """Have the session make Arrow batches of BATCH_BYTES, or of fewer where it does already."""
+    limit = spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if not 0 < limit <= BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def _in_order(pool: ThreadPoolExecutor, call: Callable, values: Iterable, ahead: int) -> Iterator:
+    """call(value) of each value, in order; at most ``ahead`` values are taken before their results are."""
+    waiting = deque()
+    for value in values:
+        waiting.append(pool.submit(call, value))
+        if len(waiting) >= ahead:
+            yield waiting.popleft().result()
+    while waiting:
+        yield waiting.popleft().result()
 
 
 def _parse_items(reply: Column) -> Column:
